@@ -6,12 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsegrid.llm.chat import OP9_SQL, op9_chat
 from pulsegrid.llm.language_id import op2_language_id
+from pulsegrid.llm.mixing import OP1_SQL, op1_mixing
 from pulsegrid.llm.quality import op4_quality
+from pulsegrid.llm.secrets import op8_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_language_id": op2_language_id,
     "op4_quality": op4_quality,
+    "op8_secrets": op8_secrets,
+    "op9_chat": op9_chat,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_mixing": OP1_SQL,
+    "op9_chat": OP9_SQL,
+}
