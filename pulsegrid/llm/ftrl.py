@@ -103,7 +103,7 @@ def fit(features: DataFrame, outputs: int, cfg: Ftrl) -> np.ndarray:
 
     made = features.filter("shard >= 0").repartition(cfg.shards, "shard").mapInArrow(run, "n long, w binary, shard int")
     total, count = np.zeros((size, outputs)), 0
-    for n, w, _ in sorted(((r.n, r.w, r.shard) for r in made.toLocalIterator()), key=lambda r: r[2]):
+    for n, w, _ in sorted(((r.n, r.w, r.shard) for r in made.collect()), key=lambda r: r[2]):
         total += n * np.frombuffer(w, np.float32).reshape(size, outputs)
         count += n
     return total / max(count, 1)

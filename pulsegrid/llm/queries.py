@@ -11,11 +11,15 @@ from pulsegrid.llm.language_id import op2_language_id
 from pulsegrid.llm.mixing import OP1_SQL, op1_mixing
 from pulsegrid.llm.quality import op4_quality
 from pulsegrid.llm.secrets import op8_secrets
+from pulsegrid.llm.simhash import op3_simhash
+from pulsegrid.llm.substrings import op7_substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_language_id": op2_language_id,
+    "op3_simhash": op3_simhash,
     "op4_quality": op4_quality,
+    "op7_substrings": op7_substrings,
     "op8_secrets": op8_secrets,
     "op9_chat": op9_chat,
 }
