@@ -117,6 +117,14 @@ def mix(docs: DataFrame, size: Column, **options) -> DataFrame:
     return copies.orderBy("finish", "source", *(c for c in rows.columns[:1]), "copy")
 
 
+def mix_documents(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """The documents that the mix takes, with their columns, size, target (of the source), copies and taken words."""
+    named = docs.withColumn("__id", F.xxhash64(*docs.columns))
+    rows = allocate(named, words(F.col(text)), key="__id", **options)
+    took = rows.filter("taken > 0").select("__id", "size", "target", F.size("finish").alias("copies"), "taken").dropDuplicates(["__id"])
+    return named.join(took, "__id").drop("__id")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return allocate(docs, words(F.col("text"))).select("doc_id", "size", "source_size", "target", "taken")

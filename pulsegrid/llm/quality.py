@@ -90,18 +90,25 @@ def score(docs: DataFrame, weights: np.ndarray | None, keep: tuple[str, ...] = (
     if weights is None:
         return docs.select(*keep, F.lit(0.5).alias(name))
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    at = "text" if "text" in keep else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for b in small_batches(batches):
             z = []
-            for raw in encoded(b["__text"]):
+            for raw in encoded(b[at]):
                 idx, val = featurise(raw, bits)
                 z.append(float(val @ w[idx]) + float(w[-1]))
             p = probabilities(np.array(z, float)[:, None])[:, 0]
             yield pa.RecordBatch.from_arrays([*(b[c] for c in keep), pa.array(p, pa.float64())], names=[*keep, name])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if at == "text" else [F.col("text").alias(at)])).mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score is at least the threshold, with their columns.  labels: doc_id, label."""
+    scored = score(docs, train(labels, docs.select("doc_id", "text")), keep=tuple(docs.columns), name="__score")
+    return scored.filter(F.col("__score") >= threshold).select(*docs.columns)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
