@@ -11,7 +11,8 @@ GAP_SECONDS = 1800
 
 
 def _seconds(later: Column, earlier: Column) -> Column:
-    return F.timestamp_diff("SECOND", earlier, later)
+    """Seconds with their fraction."""
+    return F.timestamp_diff("MICROSECOND", earlier, later) / 1_000_000
 
 
 def time_on_page(df: DataFrame, *, ts: str = "ts", view: str = "view_id", across_files: bool = False, gap: int = GAP_SECONDS) -> DataFrame:
@@ -59,18 +60,19 @@ def fact_page_view(views: DataFrame, hr: DataFrame | None = None, **options) ->
 
 
 def agg_session(fact: DataFrame, *, ts: str = "ts", view: str = "view_id", first: tuple[str, ...] = ("user_id", "gpn")) -> DataFrame:
-    """One row per session: first non-null identity, start, end, length, engagement (0 without a measured view), mean time on
+    """One row per session: first non-null identity, start, end, length, summed time on page (0 without a measured view), mean time on
     page of measured views (null without), views, entry and exit page (non-null), bounce and date."""
     at = F.struct(ts, view)
     firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in first if c in fact.columns]
     firsts += [F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in fact.columns if c.startswith("hr_")]
     page = F.when(F.col("page_id").isNotNull(), at)
+    micro = F.round(F.col("time_on_page_s") * 1_000_000).cast("long")  # whole numbers, so that sums do not depend on their order
     g = fact.filter("session_id IS NOT NULL").groupBy("session_id").agg(
-        *firsts, F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.coalesce(F.sum("time_on_page_s"), F.lit(0.0)).alias("engagement_s"), F.avg("time_on_page_s").alias("mean"),
+        *firsts, F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.coalesce(F.sum(micro), F.lit(0)).alias("total"), F.count("time_on_page_s").alias("measured"),
         F.count("*").alias("n_views"), F.min_by("page_id", page).alias("entry_page"), F.max_by("page_id", page).alias("exit_page"),
     )
-    return g.select("session_id", *(c for c in first if c in fact.columns), *(c for c in fact.columns if c.startswith("hr_")), "session_start", "session_end", _seconds(F.col("session_end"), F.col("session_start")).cast("double").alias("duration_s"),
-        F.bround("engagement_s", 0).alias("engagement_s"), F.bround("mean", 1).alias("avg_time_on_page_s"), "n_views", "entry_page", "exit_page", (F.col("n_views") == 1).alias("is_bounce"), F.to_date("session_start").alias("session_date"))
+    return g.select("session_id", *(c for c in first if c in fact.columns), *(c for c in fact.columns if c.startswith("hr_")), "session_start", "session_end", F.bround(_seconds(F.col("session_end"), F.col("session_start")), 0).alias("duration_s"),
+        (F.col("total") / 1_000_000).alias("engagement_s"), F.bround(F.try_divide(F.col("total") / 1_000_000, F.col("measured")), 1).alias("avg_time_on_page_s"), "n_views", "entry_page", "exit_page", (F.col("n_views") == 1).alias("is_bounce"), F.to_date("session_start").alias("session_date"))
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], *order: Column, keep: int = 1) -> DataFrame:

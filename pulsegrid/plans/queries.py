@@ -1,4 +1,4 @@
 """All queries outside the corpus operators."""
 
-from pulsegrid.plans import mail_queries  # noqa: F401
+from pulsegrid.plans import coverage_queries, mail_queries, pack_queries  # noqa: F401
 from pulsegrid.plans.registry import ORACLE, QUERIES  # noqa: F401
