@@ -16,7 +16,7 @@ NAMES = {
     "client_City": "client_city", "client_CountryOrRegion": "client_country", "cp_SiteID": "site_id", "cp_SiteName": "site_name", "cp_PageId": "page_id", "cp_PageName": "page_name", "cp_PageStatus": "page_status", "cp_PageURL": "page_url",
     "cp_PublishingDate": "publishing_date", "cp_ContentOwner": "content_owner", "cp_ContentType": "content_type", "cp_NewsCategory": "news_category", "cp_Theme": "theme", "cp_Topic": "topic", "cp_GPN": "gpn", "cp_Email": "email", "cp_refUri": "ref_uri",
 }
-PAGE_PROPERTIES = ("SiteID", "SiteName", "PageId", "PageName", "PageStatus", "PageURL", "PublishingDate", "TrackingID", "GICTrackingID", "ContentOwner", "ContentType", "NewsCategory", "Theme", "Topic", "TargetOrganisation", "TargetRegion", "GPN", "Email", "refUri")
+PAGE_PROPERTIES = ("SiteID", "SiteName", "PageId", "PageName", "PageStatus", "PageURL", "PublishingDate", "TrackingID", "ContentOwner", "ContentType", "NewsCategory", "Theme", "Topic", "TargetOrganisation", "TargetRegion", "GPN", "Email", "refUri")
 CLICK_PROPERTIES = (
     "GPN", "Email", "SiteID", "SiteName", "PageId", "PageName", "PageURL", "PageStatus", "ContentType", "ContentOwner", "NewsCategory", "Theme", "Topic", "LinkType", "LinkLabel", "LinkAddress", "LinkOpenIn", "ComponentName",
     "FileName", "FileType", "TargetOrganisation", "TargetRegion", "VideoTitle", "VideoDuration", "VideoPosition", "refUri", "TrackingID", "Language",
@@ -57,11 +57,11 @@ def flatten_props(df: DataFrame, keys: list[str] | tuple[str, ...] | None = None
     return df.select(*(c for c in df.columns if c != col), *((F.col(col)[k] if keys is None else pick(col, k)).alias(k) for k in found))
 
 
-def flatten_page_views(df: DataFrame, start: str, end: str, ts: str = "timestamp [UTC]") -> DataFrame:
+def flatten_page_views(df: DataFrame, start: str, end: str, ts: str = "timestamp [UTC]", properties: tuple[str, ...] = PAGE_PROPERTIES) -> DataFrame:
     """Page views of a time window with their page properties as columns, newest first."""
     when = F.try_to_timestamp(F.col(f"`{ts}`").cast("string"))
     inside = df.filter(when.between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"))).withColumn("props", parse_custom_dimensions("customDimensions")).drop("customDimensions")
-    return flatten_props(inside, [f"cp_{p}" for p in PAGE_PROPERTIES]).orderBy(F.desc(f"`{ts}`"), "id")
+    return flatten_props(inside, [f"cp_{p}" for p in properties]).orderBy(F.desc(f"`{ts}`"), "id")
 
 
 def flatten_click_events(df: DataFrame, start: str, end: str, ts: str = "timestamp") -> DataFrame:
@@ -74,7 +74,7 @@ def flatten_click_events(df: DataFrame, start: str, end: str, ts: str = "timesta
 def clean_page_views(df: DataFrame) -> DataFrame:
     """Noise dropped, names as in the model, times local, dates and person numbers tidy, tracking id split."""
     df = df.drop(*NOISE).withColumnsRenamed({k: v for k, v in NAMES.items() if k in df.columns})
-    ids = [c for c in ("cp_TrackingID", "cp_GICTrackingID") if c in df.columns]
+    ids = [c for c in df.columns if c.lower().startswith("cp_") and c.lower().endswith("trackingid")]  # spellings differ
     fixes = {"timestamp": to_local_ts("timestamp")}
     if "publishing_date" in df.columns:
         fixes["publishing_date"] = lenient_ts("publishing_date")
