@@ -33,6 +33,7 @@ class Ftrl:
     max_rows: int = 16_000
 
 
+SHARD_ROWS = 2000
 FEATURES = "y int, shard int, idx binary, val binary"
 
 
@@ -110,12 +111,14 @@ def fit(features: DataFrame, outputs: int, cfg: Ftrl) -> np.ndarray:
 
 
 def sampled(df: DataFrame, cfg: Ftrl, key: str, salt: int, holdout: int = 0) -> DataFrame:
-    """At most about cfg.max_rows rows, by a hash of key, each with its shard; one in `holdout` gets shard -1."""
+    """At most about cfg.max_rows rows, by a hash of key, each with its shard; one in `holdout` gets shard -1.
+    Shards hold about SHARD_ROWS rows, so that few rows are one shard."""
     n = df.count()
+    shards = max(1, min(cfg.shards, -(-min(n, cfg.max_rows) // SHARD_ROWS)))
     part = min(1.0, cfg.max_rows / max(n, 1))
     h = F.xxhash64(F.lit(salt), F.col(key))
     h2 = F.xxhash64(F.lit(salt + 1), F.col(key))
-    shard = F.pmod(h2, F.lit(cfg.shards)).cast("int")
+    shard = F.pmod(h2, F.lit(shards)).cast("int")
     if holdout:
         shard = F.when(F.pmod(F.xxhash64(F.lit(salt + 2), F.col(key)), F.lit(holdout)) == 0, F.lit(-1)).otherwise(shard)
     return df.filter(F.pmod(h, F.lit(1_000_000)) < round(part * 1_000_000)).withColumn("shard", shard)

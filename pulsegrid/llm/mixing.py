@@ -3,7 +3,7 @@
 Every source is a queue of its documents in shuffled order, repeated up to `repeats` times.
 A copy's virtual finish time is the number of its source's words up to and with it, divided by
 the source's target.  The copies, globally range-sorted by finish time, are cut where their sum
-would pass the total budget.
+would pass the total budget, and at time 1 at the latest, when every source has its target.
 
 Targets share the budget by weight, none above `repeats` times its source's size; the excess goes
 to the others by weight.  They come from one pass over the sources in order of size / weight.
@@ -15,7 +15,7 @@ is found on a grid of finish times, first in steps of 2**-10, then inside one st
 2**-20; only sums leave the tasks.  What is gathered in one place are sums per source: sources
 are the mix's components and should number in the thousands.
 
-Cases: a null text has size 0 and is never needed (taken 0); a null source is a source, last in
+Cases: a null text has size 0, and no copy of size 0 is in the mix (taken 0); a null source is a source, last in
 order; a null key is allowed; repeated rows are each a document; rows that tie in the shuffle key
 are ordered by key and size, and are otherwise alike; an empty table gives an empty mix; other
 columns are ignored.
@@ -75,7 +75,7 @@ def allocate(docs: DataFrame, size: Column, *, key: str = "doc_id", source: str
     run = rows.withColumn("run", F.sum("size").over(inside))
     run = run.join(base, F.col("source").eqNullSafe(F.col("bs")) & (F.col("bucket") == F.col("bb")))
     times = F.expr(f"transform(sequence(0, {repeats - 1}), p -> (p * source_size + base + run) / target)")
-    run = run.withColumn("finish", F.when(F.col("target") > 0, times).otherwise(F.array().cast("array<double>")))
+    run = run.withColumn("finish", F.when((F.col("target") > 0) & (F.col("size") > 0), times).otherwise(F.array().cast("array<double>")))
     run = written(run.select("k", "source", "size", "source_size", "target", "finish"))
     cut = _cut(run, budget)
     kept = F.filter("finish", lambda v: _step(v) <= cut)
@@ -102,7 +102,7 @@ def _cut(run: DataFrame, budget: int | None) -> int:
             if used + n > total:
                 break
             used, cut = used + n, g
-    return cut
+    return min(cut, STEP)
 
 
 def _sums(steps: DataFrame) -> list[tuple[int, int]]:
@@ -118,10 +118,11 @@ def mix(docs: DataFrame, size: Column, **options) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
-    """The documents that the mix takes, with their columns, size, target (of the source), copies and taken words."""
+    """The documents that the mix takes, with their columns, size, target (of the source), copies and taken words.
+    Rows alike in all columns get the same copies."""
     named = docs.withColumn("__id", F.xxhash64(*docs.columns))
     rows = allocate(named, words(F.col(text)), key="__id", **options)
-    took = rows.filter("taken > 0").select("__id", "size", "target", F.size("finish").alias("copies"), "taken").dropDuplicates(["__id"])
+    took = rows.filter("taken > 0").groupBy("__id").agg(F.min("size").alias("size"), F.min("target").alias("target"), F.min(F.size("finish")).alias("copies"), F.min("taken").alias("taken"))
     return named.join(took, "__id").drop("__id")
 
 
@@ -144,7 +145,7 @@ r AS (SELECT d.doc_id, d.size, t.source_size, t.target, sum(d.size) OVER (PARTIT
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT size, least(floor(CAST(p * source_size + run AS DOUBLE) / target * {STEP}), {LAST}) AS g FROM r, (SELECT unnest([0, 1, 2]) AS p) WHERE target > 0),
 q AS (SELECT g, sum(sum(size)) OVER (ORDER BY g) AS used FROM c GROUP BY g),
-v AS (SELECT coalesce(max(g), -1) AS cut FROM q WHERE used <= (SELECT sum(size) FROM d))
+v AS (SELECT coalesce(max(g), -1) AS cut FROM q WHERE used <= (SELECT sum(size) FROM d) AND g <= {STEP})
 SELECT doc_id, size, source_size, target,
        CAST(size * coalesce(len(list_filter([0, 1, 2], lambda p: target > 0 AND least(floor(CAST(p * source_size + run AS DOUBLE) / target * {STEP}), {LAST}) <= cut)), 0) AS BIGINT) AS taken
 FROM r, v

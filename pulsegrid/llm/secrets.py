@@ -29,7 +29,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 PATTERNS = [("assign", ASSIGN, 2, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]{16,}", 0, 16)]
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_"
-RATIO = 2.0
+RATIO = 4.0
+BACK_OFF = 5.0
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -58,18 +59,21 @@ def base_spans(text: Column) -> Column:
 def train(samples: DataFrame) -> list[float]:
     """samples (token string, is_random boolean) to the 66 x 66 log ratios, row by former character.
 
-    Counts pairs of neighbouring characters, with 0.5 added to each; random strings back off to a
-    uniform model when there are none."""
+    Counts pairs of neighbouring characters; each row of counts is joined by BACK_OFF counts spread like single
+    characters, and these by 0.5 each."""
     k = len(ALPHABET) + 1
     pairs = samples.filter("token IS NOT NULL AND is_random IS NOT NULL").select("is_random", F.explode(F.expr("transform(sequence(2, greatest(2, length(token))), i -> substring(token, i - 1, 2))")).alias("pair")).filter("length(pair) = 2")
     a, b = F.instr(F.lit(ALPHABET), F.substring("pair", 1, 1)), F.instr(F.lit(ALPHABET), F.substring("pair", 2, 1))
     counts = pairs.groupBy("is_random", "pair").count().select("is_random", a.alias("a"), b.alias("b"), "count")
     n = {(r.is_random, r.a, r.b): r.n for r in counts.groupBy("is_random", "a", "b").agg(F.sum("count").alias("n")).collect()}  # at most 2 x 66 x 66 rows
-    def logs(kind: bool, a: int) -> list[float]:
-        row = [n.get((kind, a, b), 0) + 0.5 for b in range(k)]
-        return [log(x / sum(row)) for x in row]
-
-    return [round(p - q, 6) for a in range(k) for p, q in zip(logs(True, a), logs(False, a), strict=True)]
+    def logs(kind: bool) -> list[list[float]]:
+        seen = [[n.get((kind, a, b), 0) for b in range(k)] for a in range(k)]
+        single = [sum(row[b] for row in seen) + 0.5 for b in range(k)]
+        single = [x / sum(single) for x in single]
+        return [[log((x + BACK_OFF * u) / (sum(row) + BACK_OFF)) for x, u in zip(row, single, strict=True)] for row in seen]
+
+    random, ordinary = logs(True), logs(False)
+    return [round(p - q, 6) for a in range(k) for p, q in zip(random[a], ordinary[a], strict=True)]
 
 
 def ratio(token: Column, table: list[float]) -> Column:
