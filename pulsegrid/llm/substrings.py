@@ -15,8 +15,8 @@ meet in a node of the suffix tree at least `length` words deep.  The tree is nev
    and finds its deep internal nodes: neighbours that agree over `length` words.
 4. The words covered by the suffixes found are joined to their texts and removed.
 
-Edges are compared by 64-bit hashes of their words.  Texts are keyed by the 64-bit hash of (key, text),
-so that repeated rows share a key and count as two occurrences.
+Equal texts are one text with a number of copies: one of them stands for all in the tree, and a text with a
+copy repeats as a whole.  Edges and texts are compared by 64-bit hashes.
 
 Cases: a null or short text has nothing removed; windows inside one text count like any other; repeated
 rows are each returned; other columns are ignored; an empty table gives an empty result.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.session import written
-from pulsegrid.llm.textops import encoded, gram_hashes, minimizers, small_batches, word_hashes
+from pulsegrid.llm.textops import U, encoded, gram_hashes, minimizers, small_batches, word_hashes
 
 LENGTH = 35
 ANCHOR = 10
@@ -76,11 +76,11 @@ def _suffix_rows(docs: DataFrame, length: int) -> DataFrame:
                 place = np.unique(places.values.to_numpy())
                 n, first = place & 63, place >> 6
                 at = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                for col, x in zip(out, (gram_hashes(w[: len(w) - length + PREFIX], PREFIX)[at].astype(np.int64), gram_hashes(w, length)[at].astype(np.int64), np.full(len(at), i, np.int64), at), strict=True):
+                for col, x in zip(out, ((gram_hashes(w[: len(w) - length + PREFIX], PREFIX)[at] >> U(33)).astype(np.int64), gram_hashes(w, length)[at].astype(np.int64), np.full(len(at), i, np.int64), at), strict=True):
                     col.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in out], names=["prefix", "deep", "id", "at"])
 
-    return docs.select("id", "text", "places").mapInArrow(run, "prefix long, deep long, id long, at long")
+    return docs.select("id", "text", "places").mapInArrow(run, "prefix long, deep long, id long, at long").selectExpr("cast(prefix as int) AS prefix", "deep", "id", "cast(at as int) AS at")
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,32 +101,35 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["id", "at"])
 
 
-def repeated_suffixes(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
-    """docs (id, text) to (id, at): the word numbers at which a run of `length` words starts that also
-    starts elsewhere.  Rows with one id are occurrences of one text."""
+def repeated_suffixes(docs: DataFrame, copies: DataFrame, *, length: int = LENGTH) -> DataFrame:
+    """docs (id, key, text), id naming the text, and copies (id, first: the key that stands for it), to (id, at):
+    the word numbers at which a run of `length` words starts that also starts elsewhere in another text or
+    in the same one."""
     if length <= max(ANCHOR, PREFIX) or length - ANCHOR >= 63:
         raise ValueError("length is out of range")
     rows = _anchor_rows(docs, length)
-    twice = rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    places = rows.join(twice, "anchor").select("id", "place").distinct().groupBy("id").agg(F.collect_list("place").alias("places"))
-    suffix = written(_suffix_rows(docs.join(places, "id"), length))
-    sizes = suffix.groupBy("prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    where = F.xxhash64("id", "place")
+    twice = written(rows.groupBy("anchor").agg(F.min(where).alias("a"), F.max(where).alias("b")).filter("a <> b").select("anchor"))
+    places = rows.join(twice, "anchor").groupBy("id").agg(F.collect_set("place").alias("places"))
+    places = written(places.join(copies, "id"))
+    one = docs.join(places, "id").filter(F.col("key").eqNullSafe(F.col("first")))
+    suffix = written(_suffix_rows(one, length))
+    sizes = suffix.groupBy("prefix").agg(F.count("*").alias("n"))
     large = written(sizes.filter(F.col("n") > GROUP).select("prefix"))
-    subtree = suffix
-    found = []
+    subtree, found = suffix, None
     if not large.isEmpty():
         subtree = suffix.join(large, "prefix", "left_anti")
         crowd = suffix.join(large, "prefix", "left_semi")
-        nodes = crowd.groupBy("prefix", "deep").agg(F.count("*").alias("n")).filter("n > 1").select("prefix", "deep")
-        found = [crowd.join(nodes, ["prefix", "deep"]).select("id", "at")]
+        nodes = written(crowd.groupBy("prefix", "deep").agg(F.count("*").alias("n")).filter("n > 1").select("prefix", "deep"))
+        found = crowd.join(nodes, ["prefix", "deep"]).select("id", "at")
     deep = subtree.repartition("prefix").sortWithinPartitions("prefix", "deep").mapInArrow(_subtrees, "id long, at long")
-    for more in found:
-        deep = deep.unionByName(more)
-    return deep
+    return deep if found is None else deep.unionByName(found)
 
 
-def _removed(raw: bytes, starts: np.ndarray, length: int) -> tuple[int, int, bytes]:
+def _removed(raw: bytes, starts: np.ndarray, copied: bool, length: int) -> tuple[int, int, bytes]:
     w = raw.split()
+    if copied and len(w) >= length:
+        return len(w), len(w), b""
     if not len(starts):
         return len(w), 0, b" ".join(w)
     edge = np.zeros(len(w) + 1, np.int64)
@@ -138,18 +141,21 @@ def _removed(raw: bytes, starts: np.ndarray, length: int) -> tuple[int, int, byt
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, digest: bool = False) -> DataFrame:
     """(key, n_words, n_removed, kept): the words that stay, joined by one space; with digest, kept_sha256."""
-    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("id", F.xxhash64("key", "text"))
-    starts = repeated_suffixes(named.select("id", "text"), length=length).groupBy("id").agg(F.array_distinct(F.collect_list("at")).alias("starts"))
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("id", F.xxhash64("text"))
+    copies = written(named.groupBy("id").agg(F.min("key").alias("first"), (F.count("*") > 1).alias("copied")))
+    starts = repeated_suffixes(named, copies.select("id", "first"), length=length).groupBy("id").agg(F.collect_set("at").alias("starts"))
+    facts = written(starts.join(copies.filter("copied").select("id", "copied"), "id", "full_outer"))
     last = "kept_sha256" if digest else "kept"
     schema = docs.select(key).schema.add("n_words", "long").add("n_removed", "long").add(last, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for b in small_batches(batches):
-            out = [_removed(raw, s.values.to_numpy() if s.is_valid else np.zeros(0, np.int64), length) for raw, s in zip(encoded(b["text"]), b["starts"], strict=True)]
+            out = [_removed(raw, s.values.to_numpy() if s.is_valid else none, bool(c), length) for raw, s, c in zip(encoded(b["text"]), b["starts"], b["copied"].to_pylist(), strict=True)]
             kept = [hashlib.sha256(x).hexdigest() if digest else x.decode() for *_, x in out]
             yield pa.RecordBatch.from_arrays([b["key"], pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array(kept, pa.string())], names=[key, "n_words", "n_removed", last])
 
-    return named.join(starts, "id", "left").select("key", "text", "starts").mapInArrow(run, schema)
+    return named.join(facts, "id", "left").select("key", "text", "starts", "copied").mapInArrow(run, schema)
 
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
