@@ -18,9 +18,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Deletes what `written` has left for this application; call it when its results are no longer needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back: a cut of the lineage that any executor can read."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
