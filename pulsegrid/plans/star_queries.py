@@ -112,7 +112,7 @@ query("mea06_week_over_week", lambda t: S.period_change(t["page_views"], "week")
 query("mea06_month_over_month", lambda t: S.period_change(t["engagement"].select("event_at", F.col("person_key").alias("user_id")), "month", "event_at"), T, CHANGE.format("month", "event_at", "person_key", "engagement"))
 query("mea07_views_ytd", lambda t: S.views_ytd(t["page_views"]), T, "SELECT CAST(ts AS DATE) AS day, count(*) AS views, CAST(sum(count(*)) OVER (PARTITION BY year(CAST(ts AS DATE)) ORDER BY CAST(ts AS DATE)) AS BIGINT) AS views_ytd FROM page_views GROUP BY CAST(ts AS DATE)")
 query("mea08_page_entry_exit", lambda t: S.page_entry_exit(sessions(t), R.dim_page(t["page_views"])), T, SESSION + ", e AS (SELECT entry_page AS page_id, count(*) AS entries, count(CASE WHEN is_bounce THEN 1 END) AS bounces FROM s GROUP BY 1), x AS (SELECT exit_page AS page_id, count(*) AS exits FROM s GROUP BY 1) SELECT page_id, coalesce(entries, 0) AS entries, coalesce(exits, 0) AS exits, coalesce(bounces / entries, 0) AS bounce_rate FROM (SELECT DISTINCT page_id FROM page_views) LEFT JOIN e USING (page_id) LEFT JOIN x USING (page_id)")
-query("mea09_heatmap", lambda t: S.heatmap(t["page_views"]), T, "SELECT d AS weekday, h AS hour, count(view_id) AS views FROM (SELECT unnest(range(1, 8)) AS d) CROSS JOIN (SELECT unnest(range(24)) AS h) LEFT JOIN page_views ON isodow(ts) = d AND hour(ts) = h GROUP BY ALL")
+query("mea09_heatmap", lambda t: S.heatmap(t["page_views"]), T, "SELECT CAST(d AS INTEGER) AS weekday, CAST(h AS INTEGER) AS hour, count(view_id) AS views FROM (SELECT unnest(range(1, 8)) AS d) CROSS JOIN (SELECT unnest(range(24)) AS h) LEFT JOIN page_views ON isodow(ts) = d AND hour(ts) = h GROUP BY ALL")
 PER_PAGE = f"SELECT page_id, count(*) AS views, {MEAN.format('time_on_page_s')} AS avg_s FROM f GROUP BY 1"
 query("mea10_engagement_flag", lambda t: S.engagement_flag(fact(t)), T, TOP + f", p AS ({PER_PAGE}) SELECT *, CASE WHEN views > 100 AND avg_s < 10 THEN 'low_engagement' WHEN views < 20 AND avg_s > 120 THEN 'hidden_gem' ELSE 'normal' END AS flag FROM p")
 query("mea11_bounce_by_division", lambda t: S.bounce_by_division(sessions(t)), T, SESSION + " SELECT coalesce(hr_division, '(Unknown)') AS division, " + KS)
