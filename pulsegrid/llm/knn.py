@@ -64,9 +64,12 @@ def _cells(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
         p = shared.value
         for b in batches:
             if b.num_rows:
-                d = np.concatenate([_distances(_matrix(b["v"].slice(i, 1024), p.shape[1]), p) for i in range(0, b.num_rows, 1024)])
-                cell = d.argmin(1)
-                yield pa.RecordBatch.from_arrays([b["id"], b["v"], pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])], names=["id", "v", "cell", "far"])
+                cell, far = [], []
+                for i in range(0, b.num_rows, 512):
+                    d = _distances(_matrix(b["v"].slice(i, 512), p.shape[1]), p)
+                    cell.append(d.argmin(1))
+                    far.append(d.min(1))
+                yield pa.RecordBatch.from_arrays([b["id"], b["v"], pa.array(np.concatenate(cell).astype(np.int32)), pa.array(np.concatenate(far))], names=["id", "v", "cell", "far"])
 
     return vectors.mapInArrow(run, "id long, v array<double>, cell int, far double")
 
@@ -125,7 +128,7 @@ def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
                 low = mid[:, owner] - size * near
                 bound = np.partition(low, low.shape[1] - k - 1, axis=1)[:, low.shape[1] - k - 1] if low.shape[1] > k else np.full(len(q), -np.inf)
                 high = mid + size * radius
-                slack = 1e-9 * (np.abs(high) + size * size + 1)
+                slack = 1e-6 * (np.abs(high) + size * (np.sqrt((p * p).sum(1)) + radius) + 1)  # far above rounding
                 cell = cells[(high + slack >= bound[:, None]).any(axis=0)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), pack)), pa.array(cell.astype(np.int32))], names=["block", "cell"])
 
