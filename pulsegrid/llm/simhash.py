@@ -211,7 +211,7 @@ def classes(fps: DataFrame, *, key: str = "doc_id", distance: int = DISTANCE) ->
     every = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     known = every.join(least, every["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("component_id"))
     linked = every.join(known, "root").select(F.col("node").alias("fp"), "component_id")
-    of = least.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    of = written(least.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))  # as a table, so that Spark can split the rows of a frequent fingerprint
     return fps.join(of, "fp").select(key, "fp", "component_id")
 
 
