@@ -190,13 +190,13 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     at = fps.select("fp").distinct().mapInArrow(spread, "anchor long, fp long")
     crowded = written(at.groupBy("anchor").count().filter(F.col("count") > CROWD))
     if not crowded.isEmpty():
-        at = _split(at, crowded)
+        at = split(at, crowded, CROWD)
     return at.repartition("anchor").sortWithinPartitions("anchor", "fp").mapInArrow(compare, "u long, v long").distinct()
 
 
-def _split(at: DataFrame, crowded: DataFrame) -> DataFrame:
+def split(at: DataFrame, crowded: DataFrame, crowd: int) -> DataFrame:
     """Gives crowded anchors an anchor for each pair of blocks of their fingerprints."""
-    n = F.ceil(F.col("count") / CROWD)
+    n = F.ceil(F.col("count") / crowd)
     own = F.pmod(F.xxhash64("fp"), n)
     pair = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda other: F.xxhash64("anchor", F.least(own, other), F.greatest(own, other))))
     joined = at.join(crowded, "anchor", "left")
@@ -206,8 +206,13 @@ def _split(at: DataFrame, crowded: DataFrame) -> DataFrame:
 
 def classes(fps: DataFrame, *, key: str = "doc_id", distance: int = DISTANCE) -> DataFrame:
     """fps (key, fp) plus component_id: the least key whose fingerprint is reachable by links."""
+    return linked_classes(fps, links(fps, distance), key=key)
+
+
+def linked_classes(fps: DataFrame, found: DataFrame, *, key: str = "doc_id") -> DataFrame:
+    """classes, by links (u, v) that are given."""
     least = fps.groupBy("fp").agg(F.min(key).alias("least"))
-    roots = written(components(links(fps, distance)))
+    roots = written(components(found))
     every = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     known = every.join(least, every["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("component_id"))
     linked = every.join(known, "root").select(F.col("node").alias("fp"), "component_id")
@@ -220,6 +225,12 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int
     key link to no other; of those that are alike in all columns one stays."""
     named = docs.filter(F.col(key).isNotNull())
     found = classes(written(fingerprints(named, key=key, text=text, k=k)), key=key, distance=distance)
+    return one_of_each(docs, found, key)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The documents whose key is their component_id in `found`, once each, and those with a null key."""
+    named = docs.filter(F.col(key).isNotNull())
     keep = found.filter(F.col(key) == F.col("component_id")).select(key)
     return named.join(keep, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()).distinct())
 
