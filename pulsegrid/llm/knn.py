@@ -1,7 +1,8 @@
 """Exact top-k search by inner product: a Voronoi join.
 
 Pivots are drawn from the vectors by a hash; every vector belongs to the cell of its nearest pivot.  A cell's
-summary is its pivot, its radius, and the distances of its nearest members to the pivot.  For a query q, a
+summary is its pivot, its radius, and the distances of its nearest members to the pivot, an id counting once, in
+the cell where it is nearest, so that a query's own rows are one of them at most.  For a query q, a
 member x of a cell with pivot p satisfies  q.p - |q| |x - p| <= q.x <= q.p + |q| |x - p|.  The left side over
 the nearest members of all cells gives a bound that the k-th best score cannot be below; a cell whose right
 side, with its radius, is below that bound holds no answer.  Queries are grouped by cell into blocks; for each
@@ -112,12 +113,13 @@ def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
     pivots = np.array(list(dict.fromkeys(tuple(r.v) for r in drawn)), float).reshape(-1, dim)
     data = written(_cells(vectors, pivots))
 
-    ranked = data.select("cell", "far", F.row_number().over(Window.partitionBy("cell").orderBy("far")).alias("r")).filter(F.col("r") <= k + 1)
+    alone = data.groupBy("id").agg(F.min(F.struct("far", "cell")).alias("x")).select("x.cell", "x.far")
+    ranked = alone.select("cell", "far", F.row_number().over(Window.partitionBy("cell").orderBy("far")).alias("r")).filter(F.col("r") <= k + 1)
     near = {r.cell: r.near for r in ranked.groupBy("cell").agg(F.collect_list("far").alias("near")).collect()}  # one row a cell
     radius = {r.cell: r.radius for r in data.groupBy("cell").agg(F.max("far").alias("radius")).collect()}
     cells = np.array(sorted(radius), np.int64)
-    owner = np.repeat(np.arange(len(cells)), [len(near[c]) for c in cells])
-    facts = spark.sparkContext.broadcast((cells, pivots[cells], np.array([radius[c] for c in cells]), owner, np.concatenate([near[c] for c in cells])))
+    owner = np.repeat(np.arange(len(cells)), [len(near.get(c, [])) for c in cells.tolist()])
+    facts = spark.sparkContext.broadcast((cells, pivots[cells], np.array([radius[c] for c in cells]), owner, np.concatenate([near.get(c, []) for c in cells.tolist()])))
 
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, p, radius, owner, near = facts.value
