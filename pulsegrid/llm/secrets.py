@@ -30,7 +30,7 @@ PATTERNS = [("assign", ASSIGN, 2, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("he
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_"
 RATIO = 4.0
-BACK_OFF = 5.0
+BACK_OFF = 0.005
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -59,18 +59,22 @@ def base_spans(text: Column) -> Column:
 def train(samples: DataFrame) -> list[float]:
     """samples (token string, is_random boolean) to the 66 x 66 log ratios, row by former character.
 
-    Counts pairs of neighbouring characters; each row of counts is joined by BACK_OFF counts spread like single
-    characters, and these by 0.5 each."""
+    Counts pairs of neighbouring characters; each row of counts is joined by a share BACK_OFF of its sum spread like
+    single characters, and these by the same share spread evenly, so that ratios do not grow with the samples."""
     k = len(ALPHABET) + 1
     pairs = samples.filter("token IS NOT NULL AND is_random IS NOT NULL").select("is_random", F.explode(F.expr("transform(sequence(2, greatest(2, length(token))), i -> substring(token, i - 1, 2))")).alias("pair")).filter("length(pair) = 2")
     a, b = F.instr(F.lit(ALPHABET), F.substring("pair", 1, 1)), F.instr(F.lit(ALPHABET), F.substring("pair", 2, 1))
     counts = pairs.groupBy("is_random", "pair").count().select("is_random", a.alias("a"), b.alias("b"), "count")
     n = {(r.is_random, r.a, r.b): r.n for r in counts.groupBy("is_random", "a", "b").agg(F.sum("count").alias("n")).collect()}  # at most 2 x 66 x 66 rows
+
+    def shares(row: list[float], others: list[float]) -> list[float]:
+        total = sum(row)
+        return [(x / total + BACK_OFF * u) / (1 + BACK_OFF) if total else u for x, u in zip(row, others, strict=True)]
+
     def logs(kind: bool) -> list[list[float]]:
         seen = [[n.get((kind, a, b), 0) for b in range(k)] for a in range(k)]
-        single = [sum(row[b] for row in seen) + 0.5 for b in range(k)]
-        single = [x / sum(single) for x in single]
-        return [[log((x + BACK_OFF * u) / (sum(row) + BACK_OFF)) for x, u in zip(row, single, strict=True)] for row in seen]
+        single = shares([sum(row[b] for row in seen) for b in range(k)], [1 / k] * k)
+        return [[log(x) for x in shares(row, single)] for row in seen]
 
     random, ordinary = logs(True), logs(False)
     return [round(p - q, 6) for a in range(k) for p, q in zip(random[a], ordinary[a], strict=True)]
@@ -93,19 +97,41 @@ def _markov_spans(text: Column, base: Column, table: list[float], least: float)
     return F.filter(free, lambda s: mixed(piece(s)) & (ratio(piece(s), table) >= least))
 
 
+def numbered(key: Column, text: Column) -> Column:
+    """Ordinary identifiers with digits, made of a text's words and of numbers drawn by a hash of its key:
+    dated and numbered names, versions, paths, and numbers in groups."""
+    word = lambda i: F.lower(F.coalesce(F.get(F.regexp_extract_all(F.substring(text, 1, 400), F.lit("[A-Za-z]{3,}"), F.lit(0)), F.lit(i)), F.lit("name")))
+
+    def number(i: int, least: int, most: int, digits: int = 1) -> Column:
+        drawn = (F.pmod(F.xxhash64(F.lit(i), key), F.lit(most - least + 1)) + least).cast("string")
+        return F.lpad(drawn, digits, "0") if digits > 1 else drawn
+
+    year, month, day, hour, minute = number(1, 1990, 2039), number(2, 1, 12, 2), number(3, 1, 28, 2), number(4, 0, 23, 2), number(5, 0, 59, 2)
+    return F.array(
+        F.concat_ws("_", word(0), year, month, day, word(1), number(6, 0, 9999, 4)),
+        F.concat_ws("_", word(2), word(3), year, number(7, 0, 9999, 4)),
+        F.concat(word(4), F.lit("_"), year, month, day, F.lit("_"), hour, minute, number(8, 0, 59, 2), F.lit("_"), word(5)),
+        F.concat_ws("-", word(6), F.concat(F.lit("v"), number(9, 0, 20)), number(10, 0, 40), number(11, 0, 99), word(7)),
+        F.concat(F.lit("/"), F.concat_ws("/", word(8), year, month, day, F.concat(word(9), F.lit("-"), number(12, 1, 999_999)))),
+        F.concat_ws("-", F.upper(word(1)), number(13, 1, 999), number(14, 0, 9), number(15, 10, 99), number(16, 0, 999_999, 6), number(17, 0, 9)),
+        F.concat(F.initcap(word(0)), F.initcap(word(2)), number(18, 0, 99_999), F.lit("="), number(19, 0, 99_999)),
+    )
+
+
 def samples(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs: int = 20_000) -> DataFrame:
     """Labelled samples from the corpus itself: values of base matches, and strings drawn by a hash, are
-    random; runs of 8 and more letters and underscores are ordinary."""
+    random; runs of 8 and more letters and underscores, and names with numbers made from the words, are ordinary."""
     n = docs.count()
     part = min(1.0, max_docs / max(n, 1))
     some = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).filter(F.pmod(F.xxhash64(F.lit(5), "k"), F.lit(1_000_000)) < round(part * 1_000_000))
     token = F.filter(F.regexp_extract_all("t", F.lit(r"[A-Za-z_]{8,}"), F.lit(0)), lambda w: ~w.rlike("[0-9]"))
     ordinary = some.select(F.explode(token).alias("token"), F.lit(False).alias("is_random"))
+    named = some.filter("k IS NOT NULL").select(F.explode(numbered(F.col("k"), F.col("t"))).alias("token"), F.lit(False).alias("is_random"))
     drawn = F.explode(F.array(F.base64(F.unhex(F.sha2(F.concat(F.lit("s"), F.col("k").cast("string")), 256))), F.upper(F.sha2(F.concat(F.lit("u"), F.col("k").cast("string")), 256)), F.sha2(F.concat(F.lit("h"), F.col("k").cast("string")), 256)))
     made = some.filter("k IS NOT NULL").select(drawn.alias("token"), F.lit(True).alias("is_random"))
     value = F.transform(base_spans(F.col("t")), lambda s: F.substring(F.col("t"), s["start"] + 1, s["end"] - s["start"]))
     held = some.select(F.explode(value).alias("v")).select(F.regexp_extract("v", r"([A-Za-z0-9+/_-]+)[^A-Za-z0-9+/_-]*$", 1).alias("token"), F.lit(True).alias("is_random"))
-    return ordinary.unionByName(made).unionByName(held.filter("token <> ''"))
+    return ordinary.unionByName(named).unionByName(made).unionByName(held.filter("token <> ''"))
 
 
 def scan(docs: DataFrame, table: list[float] | None, *, text: str = "text", least: float = RATIO) -> DataFrame:
