@@ -14,7 +14,7 @@ from pulsegrid.llm.mixing import OP1_SQL, op1_mixing
 from pulsegrid.llm.quality import op4_quality
 from pulsegrid.llm.secrets import op8_secrets
 from pulsegrid.llm.simhash import op3_simhash
-from pulsegrid.llm.substrings import op7_substrings
+from pulsegrid.llm.substrings import OP7_SQL, op7_substrings
 from pulsegrid.llm.url_filter import OP6_SQL, op6_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -34,5 +34,6 @@ ORACLE: dict[str, str] = {
     "op1_mixing": OP1_SQL,
     "op5_top_k": OP5_SQL,
     "op6_url_filters": OP6_SQL,
+    "op7_substrings": OP7_SQL,
     "op9_chat": OP9_SQL,
 }

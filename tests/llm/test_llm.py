@@ -95,10 +95,29 @@ def test_mix_cases(spark):
     assert all(r.taken <= 3 * r["size"] and r.taken == r["size"] * len(r.finish) for r in got)
     for s in ("s", "t", None):
         part = [r for r in got if r.source == s]
-        assert abs(sum(r.taken for r in part) - part[0].target) <= max(r["size"] for r in part)
+        assert abs(sum(r.taken for r in part) - part[0].target) <= 40  # a copy of the longest document
     assert mixing.allocate(df.limit(0), mixing.words(F.col("text"))).count() == 0
     assert mixing.mix(df, mixing.words(F.col("text"))).count() == sum(len(r.finish) for r in got)
-    assert mixing.mix_documents(df.drop("size", "target")).count() == sum(r.taken > 0 for r in got)
+    whole = mixing.mix_documents(df.withColumns({"Copies": F.lit("clash"), "taken": F.lit("clash"), "__row": F.lit("kept")})).collect()
+    assert len(whole) == sum(r.taken > 0 for r in got) and sum(r.taken for r in whole) == sum(r.taken for r in got)
+    assert all(r["__row"] == "kept" and r.taken == r["size"] * r.copies for r in whole)
+
+
+def test_mix_is_a_beginning_of_the_sorted_copies(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, "w " * int(rng.integers(0, 30)), "abcd"[min(3, int(rng.integers(0, 6)))]) for i in range(400)] + [(7, "same words here", "a")] * 300 + [(900, "w " * 5000, "d"), (901, LONG, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = mixing.words(F.col("text"))
+    for budget in (None, 0, 1, 333, 5000, 10_000_000):
+        got = mixing.allocate(df, size, budget=budget).collect()
+        every = sorted(((f, s is None, s or "", n) for r in mixing._queued(df, size, "doc_id", "source", None, budget, 3, "mix", ()).collect() for f, s, n in ((f, r.source, r["size"]) for f in r.finish)))
+        total, used, n = sum(r["size"] for r in got) if budget is None else budget, 0, 0
+        while n < len(every) and used + every[n][3] <= total:
+            used, n = used + every[n][3], n + 1
+        assert sum(r.taken for r in got) == used and sorted(((f, r.source is None, r.source or "", r["size"]) for r in got for f in r.finish)) == every[:n]
+        assert sum(r.taken for r in mixing.mix_documents(df, budget=budget).collect()) == used
+    order = [(r.finish, r.source) for r in mixing.mix(df, size, budget=333).collect()]
+    assert [f for f, _ in order] == sorted(f for f, _ in order)
 
 
 # 2 and 4
@@ -262,9 +281,9 @@ def brute_removed(rows, length=35):
     return sorted(out)
 
 
-@pytest.mark.parametrize("group", [50_000, 2])
-def test_substrings_query(spark, corpus, monkeypatch, group):
-    monkeypatch.setattr(substrings, "GROUP", group)
+@pytest.mark.parametrize("crowd", [2000, 2])
+def test_substrings_query(spark, corpus, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "CROWD", crowd)
     assert sorted(tuple(r) for r in QUERIES["op7_substrings"](spark, DATA).collect()) == brute_removed(corpus)
 
 
@@ -275,9 +294,26 @@ def test_substring_cases(spark):
     got = sorted(tuple(r) for r in substrings.remove_repeats(df, digest=True).collect())
     assert got == brute_removed([(i, t or "") for i, t in enumerate(texts)])
     assert {r.kept for r in substrings.remove_repeats(df.limit(1)).collect()} == {texts[0]}
+    for r in substrings.remove_repeats(df).collect():
+        w = WORD.findall(texts[r.doc_id] or "")
+        gone = {i for a, b in r.spans for i in range(a, b)}
+        assert len(gone) == r.n_removed and r.kept == " ".join(x for i, x in enumerate(w) if i not in gone)
     assert substrings.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_deep_leaves_of_large_groups():
+    rng = np.random.default_rng(4)
+    length, n = 12, 3  # anchors of 10 words, suffixes 0 to 2 words before them
+    words = rng.integers(0, 2, (400, n + length - 1)).astype(np.uint64)
+    words[:, 2:12] = 7
+    anchor = np.repeat([1, 2], 200)
+    got = substrings.deep_leaves(anchor, np.full(400, 2), np.full(400, n), words.reshape(-1), length)
+    for d in range(3):
+        key = [(a, *w[2 - d : 2 - d + length].tolist()) for a, w in zip(anchor.tolist(), words, strict=True)]
+        seen = collections.Counter(key)
+        assert got[:, d].tolist() == [seen[k] > 1 for k in key]
+
+
 # 8
 
 
