@@ -2,19 +2,20 @@
 
 Base patterns give spans of three kinds.  On top, runs of key-like characters are scored under
 two first-order Markov models, one of random strings and one of ordinary identifiers; where the
-log-likelihood ratio per transition is high enough, the run becomes a `markov` span, unless it
-overlaps a base span.  Both models are trained from labelled samples (string, is_random).
+log-likelihood ratio per transition is high enough, the run becomes a `markov` span, unless one base span
+holds all of it.  Runs shorter than SURE characters have fewer transitions and need a higher ratio.  Both models
+are trained from labelled samples (string, is_random).
 
 The models are one table of 66 x 66 log ratios, whatever the corpus; it is put into the plan as a
 literal.  Training samples come from at most about `max_docs` documents (by a hash of the key);
 every text is scanned whole.
 
 Offsets are code points, ends exclusive.  A pattern's places come from the lengths of its matches
-and of the text between them.
+and of the text between them, added up by blocks (arrays.py), so that the work grows with the matches.
 
 Cases: a null text is empty; texts without a match have no spans; without samples the models are
-uniform and add nothing; repeated rows are each scanned; other columns are kept by `redact` and
-ignored by `scan`.
+uniform and add nothing; repeated rows are each scanned; other columns are kept, but `scan` puts its results in
+place of columns named `base_spans` and `spans`, which `clean` leaves as they are.
 """
 
 from __future__ import annotations
@@ -24,36 +25,50 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.arrays import let, running_max, running_sum, set_aside
+
 # The base patterns, their order, and the least length of what they must hold.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 PATTERNS = [("assign", ASSIGN, 2, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]{16,}", 0, 16)]
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_"
 RATIO = 4.0
+SURE = 20
+CUT = 4096
 BACK_OFF = 0.005
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
-def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
-    """The spans of a pattern's leftmost non-overlapping matches whose group has the least length."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+def _found(text: Column, pattern: str) -> Column:
+    """start, end and text of a pattern's leftmost non-overlapping matches."""
+
+    def place(pairs: Column) -> Column:
+        begins = running_sum(F.transform(pairs, lambda p: (F.length(p["gap"]) + F.length(p["found"])).cast("long")))
+
+        def one(p: Column, at: Column) -> Column:
+            begin = at + F.length(p["gap"])
+            return F.struct(begin.cast("int").alias("start"), (begin + F.length(p["found"])).cast("int").alias("end"), p["found"].alias("text"))
+
+        return F.zip_with(pairs, begins, one)
+
+    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    pairs = let(F.struct(found.alias("found"), gaps.alias("gaps")), lambda x: F.transform(x["found"], lambda m, i: F.struct(F.get(x["gaps"], i).alias("gap"), m.alias("found"))))
+    return F.when(text.rlike(pattern), let(pairs, place)).otherwise(F.array().cast("array<struct<start:int,end:int,text:string>>"))
 
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + F.length(m["gap"])
-        end = begin + F.length(m["found"])
-        inner = F.length(F.regexp_extract(m["found"], pattern, group)) if group else F.length(m["found"])
-        span = F.array(F.struct(begin.cast("int").alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.cast("int").alias("end")))
-        return F.struct(end.alias("at"), F.when(inner >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    pairs = F.transform(found, lambda x, i: F.struct(F.get(gaps, i).alias("gap"), x.alias("found")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(SPAN))
+def _spans(found: Column, kind: str, rank: int) -> Column:
+    return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+
+
+def _matches(text: Column, pattern: str, group: int, least: int) -> Column:
+    """The matches whose group has the least length."""
+    inner = lambda m: F.length(F.regexp_extract(m["text"], pattern, group)) if group else F.length(m["text"])
+    return F.filter(_found(text, pattern), lambda m: inner(m) >= least)
 
 
 def base_spans(text: Column) -> Column:
     """The spans of the three base kinds, by start, then by kind as listed."""
-    return F.array_sort(F.concat(*(_spans(text, kind, i, p, g, n) for i, (kind, p, g, n) in enumerate(PATTERNS))))
+    return F.array_sort(F.concat(*(_spans(_matches(text, p, g, n), kind, i) for i, (kind, p, g, n) in enumerate(PATTERNS))))
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -89,12 +104,22 @@ def ratio(token: Column, table: list[float]) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x) / F.greatest(F.size(pairs), F.lit(1))
 
 
+def _loose(candidates: Column, base: Column) -> Column:
+    """The candidates that no base span holds whole."""
+    kind = lambda m, of_base, text: F.struct(m["start"].alias("start"), F.lit(0 if of_base else 1).alias("later"), m["end"].alias("end"), text.alias("text"))
+    both = F.array_sort(F.concat(F.transform(base, lambda m: kind(m, True, F.lit(None).cast("string"))), F.transform(candidates, lambda m: kind(m, False, m["text"]))))
+
+    def apart(x: Column) -> Column:
+        reach = running_max(F.transform(x, lambda m: F.when(m["later"] == 0, m["end"]).otherwise(-1).cast("long")))
+        return F.filter(F.zip_with(x, reach, lambda m, r: F.when((m["later"] == 1) & (r < m["end"]), m)), lambda m: m.isNotNull())
+
+    return let(both, apart)
+
+
 def _markov_spans(text: Column, base: Column, table: list[float], least: float) -> Column:
-    spans = _spans(text, "markov", len(PATTERNS), CANDIDATE, 0, 1)
-    mixed = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]")
-    piece = lambda s: F.substring(text, s["start"] + 1, s["end"] - s["start"])
-    free = F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return F.filter(free, lambda s: mixed(piece(s)) & (ratio(piece(s), table) >= least))
+    loose = F.when(F.size(base) > 0, _loose(_found(text, CANDIDATE), base)).otherwise(F.transform(_found(text, CANDIDATE), lambda m: F.struct(m["start"].alias("start"), F.lit(1).alias("later"), m["end"].alias("end"), m["text"].alias("text"))))
+    sure = lambda m: F.least(F.lit(1.0), (F.length(m["text"]) - 1) / (SURE - 1))
+    return _spans(F.filter(loose, lambda m: ratio(m["text"], table) * sure(m) >= least), "markov", len(PATTERNS))
 
 
 def numbered(key: Column, text: Column) -> Column:
@@ -129,7 +154,7 @@ def samples(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs:
     named = some.filter("k IS NOT NULL").select(F.explode(numbered(F.col("k"), F.col("t"))).alias("token"), F.lit(False).alias("is_random"))
     drawn = F.explode(F.array(F.base64(F.unhex(F.sha2(F.concat(F.lit("s"), F.col("k").cast("string")), 256))), F.upper(F.sha2(F.concat(F.lit("u"), F.col("k").cast("string")), 256)), F.sha2(F.concat(F.lit("h"), F.col("k").cast("string")), 256)))
     made = some.filter("k IS NOT NULL").select(drawn.alias("token"), F.lit(True).alias("is_random"))
-    value = F.transform(base_spans(F.col("t")), lambda s: F.substring(F.col("t"), s["start"] + 1, s["end"] - s["start"]))
+    value = F.concat(*(F.transform(_matches(F.col("t"), p, g, n), lambda m: m["text"]) for _, p, g, n in PATTERNS))
     held = some.select(F.explode(value).alias("v")).select(F.regexp_extract("v", r"([A-Za-z0-9+/_-]+)[^A-Za-z0-9+/_-]*$", 1).alias("token"), F.lit(True).alias("is_random"))
     return ordinary.unionByName(named).unionByName(made).unionByName(held.filter("token <> ''"))
 
@@ -137,25 +162,52 @@ def samples(docs: DataFrame, key: str = "doc_id", text: str = "text", max_docs:
 def scan(docs: DataFrame, table: list[float] | None, *, text: str = "text", least: float = RATIO) -> DataFrame:
     """docs plus base_spans and spans (base and markov), each sorted by start, then kind."""
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("base_spans", base_spans(t))
+    out = docs.drop("base_spans", "spans").withColumn("base_spans", base_spans(t))
     if table is None:
         return out.withColumn("spans", F.col("base_spans"))
     more = F.when(t.rlike(CANDIDATE), _markov_spans(t, F.col("base_spans"), table, least)).otherwise(F.array().cast(SPAN))
     return out.withColumn("spans", F.array_sort(F.concat("base_spans", more)))
 
 
-def redact(scanned: DataFrame, *, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """Replaces each stretch covered by spans; drops the two span columns.  A null text stays null."""
-    t = F.col(text)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with a mark in place of each stretch covered by spans (sorted by start).
+
+    Pieces are cut out of blocks of CUT characters, as Spark reads a text from its start to find a place in it."""
+
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        i, j = F.floor(a / CUT).cast("int"), F.floor(b / CUT).cast("int")
+        block = lambda k: F.coalesce(F.get(blocks, k), F.lit(""))
+        first, last = F.substring(block(i), a - i * CUT + 1, F.lit(CUT)), F.substring(block(j), F.lit(1), b - j * CUT)
+        whole = F.array_join(F.slice(blocks, i + 2, F.greatest(j - i - 1, F.lit(0))), "")
+        return F.when(i == j, F.substring(block(i), a - i * CUT + 1, b - a)).otherwise(F.concat(first, whole, last))
+
+    def cut(x: Column) -> Column:
+        reach = running_max(F.transform(x["spans"], lambda s: s["end"].cast("long")))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.array(F.concat(F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)))
-        new = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, F.concat(acc["out"], gap)).otherwise(acc["out"]).alias("out"))
+        def one(s: Column, before: Column) -> Column:
+            begin = F.greatest(before, F.lit(0)).cast("int")
+            return F.when(s["start"] >= begin, F.concat(piece(x["blocks"], begin, s["start"]), F.lit(mark))).otherwise("")
 
-    cut = F.aggregate("spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t))))
-    return scanned.withColumn(text, F.when(F.size("spans") > 0, cut).otherwise(t)).drop("base_spans", "spans")
+        end = F.array_max(F.transform(x["spans"], lambda s: s["end"]))
+        return F.concat(F.array_join(F.zip_with(x["spans"], reach, one), ""), piece(x["blocks"], end, F.length(text)))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, let(F.struct(blocks.alias("blocks"), spans.alias("spans")), cut)).otherwise(text)
+
+
+def redact(scanned: DataFrame, *, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """What `scan` gives, with secrets replaced and without the two span columns.  A null text stays null."""
+    return scanned.withColumn(text, redacted(F.col(text), F.col("spans"), mark)).drop("base_spans", "spans")
+
+
+def clean(docs: DataFrame, table: list[float] | None, *, text: str = "text", least: float = RATIO, mark: str = "[SECRET]", length: str | None = None) -> DataFrame:
+    """docs with secrets replaced, all columns kept; where a text has changed, the column `length` gets its new length."""
+    named, back = set_aside(docs, "base_spans", "spans")
+    found = scan(named, table, text=text, least=least)
+    out = found.withColumn(text, redacted(F.col(text), F.col("spans"), mark))
+    if length:
+        out = out.withColumn(length, F.when(F.size("spans") > 0, F.length(text).cast(docs.schema[length].dataType)).otherwise(F.col(length)))
+    return out.drop("base_spans", "spans").withColumnsRenamed(back).select(*(f"`{c}`" for c in docs.columns))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
