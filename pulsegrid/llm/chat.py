@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.arrays import let, running_sum
+
 PARTS = "array<struct<type:string,text:string,ref:string,units:double>>"
 END = "</turn>"
 #: Expanded tokens for each unit: an image's patches, a second of audio, a page of a document.
@@ -59,15 +61,14 @@ def visit(parts: Column, tokens_per_unit: dict[str, float] = TOKENS_PER_UNIT) ->
     other = F.filter(parts, lambda p: ~(F.coalesce(p["type"], F.lit("text")) == "text"))
     rates = F.create_map(*(F.lit(x) for kv in tokens_per_unit.items() for x in kv))
     shown = F.transform(other, lambda p, i: F.struct(p["type"].alias("type"), (i + 1).alias("number"), p["ref"].alias("ref"), F.ceil(F.coalesce(p["units"], F.lit(1.0)) * F.coalesce(F.try_element_at(rates, p["type"]), F.lit(1.0))).alias("tokens")))
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
+    is_text = lambda p: F.coalesce(p["type"], F.lit("text")) == "text"
 
-    def step(acc: Column, p: Column) -> Column:
-        is_text = F.coalesce(p["type"], F.lit("text")) == "text"
-        n = acc["n"] + F.when(is_text, 0).otherwise(1)
-        shown = F.when(is_text, escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), escape(p["type"]), F.lit(":"), n.cast("string"), F.lit("|>")))
-        return F.struct(n.alias("n"), F.concat(acc["out"], F.array(shown)).alias("out"))
+    def show(p: Column, before: Column) -> Column:
+        mark = F.concat(F.lit("<|"), escape(p["type"]), F.lit(":"), (before + 1).cast("string"), F.lit("|>"))
+        return F.when(is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(mark)
 
-    return F.struct(F.aggregate(parts, start, step, lambda acc: F.array_join(acc["out"], "")).alias("content"), shown.alias("attachments"))
+    content = let(parts, lambda x: F.array_join(F.zip_with(x, running_sum(F.transform(x, lambda p: F.when(is_text(p), 0).otherwise(1).cast("long"))), show), ""))
+    return F.struct(content.alias("content"), shown.alias("attachments"))
 
 
 def format_chats(messages: DataFrame, *, conversation: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts", learn: str = "assistant") -> DataFrame:
