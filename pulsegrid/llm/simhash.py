@@ -20,7 +20,7 @@ returned; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +48,22 @@ def fingerprint(raw: bytes, k: int) -> int:
     text, n = b" ".join(w), max(1, len(w) - k + 1)
     end = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
     start = np.concatenate(([0], end[:-1] + 1))
-    votes = np.zeros(64, np.int64)
-    for i in range(0, n, 1 << 14):
-        j = min(n, i + (1 << 14))
-        s, e = start[i:j].tolist(), end[min(k, len(w)) - 1 :][i:j].tolist()
-        h = np.fromiter((xxhash.xxh64_intdigest(text[a:b], 42) for a, b in zip(s, e, strict=True)), U, j - i)
+
+    def hashes() -> Iterator[np.ndarray]:
+        for i in range(0, n, 1 << 14):
+            j = min(n, i + (1 << 14))
+            s, e = start[i:j].tolist(), end[min(k, len(w)) - 1 :][i:j].tolist()
+            yield np.fromiter((xxhash.xxh64_intdigest(text[a:b], 42) for a, b in zip(s, e, strict=True)), U, j - i)
+
+    return majority(hashes())
+
+
+def majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits that are set in over half of the hashes."""
+    votes, n = np.zeros(64, np.int64), 0
+    for h in parts:
         votes += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(h)
     return int(sum(1 << b for b in np.flatnonzero(2 * votes > n).tolist()))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from conftest import DATA
-from test_llm import DOC, brute_classes, brute_fingerprint, brute_spans
+from test_jaccard import brute
+from test_llm import DOC, brute_spans
 
 import corpus_pipeline
 from pulsegrid.llm import quality
@@ -36,8 +37,7 @@ def test_stages(spark):
     assert set(after) == {i for i in before if scores[i] >= 0.3} and all(after[i] == before[i] for i in after)
 
     before, after = seen["near_duplicates"]
-    classes = brute_classes({i: brute_fingerprint(r.text or "", 5) for i, r in before.items()})
-    assert set(after) == set(classes.values()) and all(after[i] == before[i] for i in after)
+    assert set(after) == brute([(i, r.text) for i, r in before.items()]) and all(after[i] == before[i] for i in after)
 
     before, after = seen["decontamination"]
     items = [r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
