@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,16 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def apart(key: Column, *row: str | Column) -> Column:
+    """A join key (text) whose nulls, which match nothing, are spread over the tasks by a hash of the row."""
+    return F.coalesce(key, F.concat(F.lit("no key "), F.xxhash64(*row).cast("string")))
+
+
 def normalize_gpn(c: str | Column) -> Column:
     """A person number as eight digits: without `.0`, trimmed, padded when shorter; nothing and zeros are null."""
     t = F.trim(F.regexp_replace(F.trim(_c(c).cast("string")), r"\.0$", ""))

@@ -6,15 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tracking import parse_tracking_id
-from pulsegrid.functions.values import label_null, lenient_ts, normalize_gpn, to_local_ts
+from pulsegrid.functions.values import label_null, lenient_ts, let, normalize_gpn, to_local_ts
 
 MAP = "map<string,string>"
-# The columns of an export that a model does not need, and the names that the model gives to the others.
-NOISE = ("name", "performanceBucket", "itemType", "operation_Name", "operation_Id", "operation_ParentId", "operation_SyntheticSource", "user_AuthenticatedId", "user_AccountId", "application_Version", "client_IP", "cloud_RoleName", "cloud_RoleInstance", "appId", "iKey", "sdkVersion", "itemCount")
+# The columns of an export that the model drops.
+NOISE = (
+    "appId", "iKey", "sdkVersion", "itemCount", "itemType", "operation_Id", "operation_ParentId", "operation_Name", "client_IP", "client_Type", "client_Model", "performanceBucket", "name", "url",
+    "client_City", "client_StateOrProvince", "cp_NewsCategory",
+)
+# The names that the model gives to the others.
 NAMES = {
-    "timestamp [UTC]": "timestamp", "id": "view_id", "duration": "load_ms", "user_Id": "user_id", "session_Id": "session_id", "client_Type": "client_type", "client_OS": "client_os", "client_Browser": "client_browser",
-    "client_City": "client_city", "client_CountryOrRegion": "client_country", "cp_SiteID": "site_id", "cp_SiteName": "site_name", "cp_PageId": "page_id", "cp_PageName": "page_name", "cp_PageStatus": "page_status", "cp_PageURL": "page_url",
-    "cp_PublishingDate": "publishing_date", "cp_ContentOwner": "content_owner", "cp_ContentType": "content_type", "cp_NewsCategory": "news_category", "cp_Theme": "theme", "cp_Topic": "topic", "cp_GPN": "gpn", "cp_Email": "email", "cp_refUri": "ref_uri",
+    "timestamp [UTC]": "timestamp", "id": "view_id", "user_Id": "user_id", "session_Id": "session_id", "duration": "load_ms", "cp_refUri": "ref_uri", "client_OS": "client_os", "client_Browser": "client_browser",
+    "client_CountryOrRegion": "client_country", "cp_PageId": "page_id", "cp_Email": "email", "cp_GPN": "gpn", "cp_PageName": "page_name", "cp_PageURL": "page_url", "cp_SiteID": "site_id", "cp_SiteName": "site_name",
+    "cp_ContentOwner": "content_owner", "cp_ContentType": "content_type", "cp_Theme": "theme", "cp_Topic": "topic", "cp_TargetRegion": "target_region", "cp_TargetOrganisation": "target_org", "cp_PageStatus": "page_status",
+    "cp_PublishingDate": "publishing_date",
 }
 PAGE_PROPERTIES = ("SiteID", "SiteName", "PageId", "PageName", "PageStatus", "PageURL", "PublishingDate", "TrackingID", "ContentOwner", "ContentType", "NewsCategory", "Theme", "Topic", "TargetOrganisation", "TargetRegion", "GPN", "Email", "refUri")
 CLICK_PROPERTIES = (
@@ -25,18 +30,23 @@ CLICK_PROPERTIES = (
 
 def parse_custom_dimensions(c: str | Column) -> Column:
     """A property cell as a map: an object, or a JSON string that holds one; CustomProps, nested as an object or as
-    a string, with keys cp_*; a broken CustomProps as cp_raw; a broken or empty cell as an empty map."""
-    raw = F.trim(F.col(c) if isinstance(c, str) else c)
-    outer = F.get_json_object(raw, "$")
-    outer = F.when(outer.startswith("{"), outer).otherwise(F.get_json_object(outer, "$"))
-    top = F.from_json(outer, MAP)
-    nested = F.get_json_object(outer, "$.CustomProps")
-    inner = F.from_json(F.when(nested.startswith("{"), nested), MAP)
-    marked = F.transform_keys(inner, lambda k, v: F.concat(F.lit("cp_"), k))
-    none = F.create_map().cast(MAP)
-    rest = F.map_filter(F.coalesce(top, none), lambda k, v: k != "CustomProps")
-    props = F.when(nested.isNull() | (nested == ""), none).when(F.coalesce(F.size(inner), F.lit(0)) > 0, marked).otherwise(F.create_map(F.lit("cp_raw"), nested))
-    return F.map_concat(rest, props)
+    a string, with keys cp_*; a broken CustomProps as cp_raw; a broken or empty cell as an empty map.
+
+    The cell is parsed once, and CustomProps once more."""
+    raw, none = F.trim(F.col(c) if isinstance(c, str) else c), F.create_map().cast(MAP)
+    cell = F.from_json(F.when(raw.startswith("{"), raw).otherwise(F.get_json_object(raw, "$")), MAP)
+
+    def whole(x: Column) -> Column:
+        nested, inner = x["nested"], x["inner"]
+        marked = F.transform_keys(inner, lambda k, v: F.concat(F.lit("cp_"), k))
+        props = F.when(nested.isNull() | (nested == ""), none).when(F.size(inner) > 0, marked).otherwise(F.create_map(F.lit("cp_raw"), nested))
+        return F.map_concat(F.map_filter(x["top"], lambda k, v: k != "CustomProps"), props)
+
+    def opened(top: Column) -> Column:
+        nested = top["CustomProps"]
+        return let(F.struct(top.alias("top"), nested.alias("nested"), F.coalesce(F.from_json(F.when(nested.startswith("{"), nested), MAP), none).alias("inner")), whole)
+
+    return let(F.coalesce(cell, none), opened)
 
 
 def property_keys(df: DataFrame, col: str = "props") -> list[str]:
@@ -44,31 +54,50 @@ def property_keys(df: DataFrame, col: str = "props") -> list[str]:
     return sorted(r.k for r in df.select(F.explode(F.map_keys(col)).alias("k")).distinct().collect())
 
 
+def _plain(key: Column) -> Column:
+    return F.lower(F.replace(key, F.lit(" "), F.lit("")))
+
+
+def plain_keys(props: str | Column) -> Column:
+    """The map with keys in lower case and without blanks; of several alike the first stays."""
+
+    def first(x: Column) -> Column:
+        return F.map_from_entries(F.filter(x["entries"], lambda e, i: F.array_position(x["keys"], e["key"]) == i + 1))
+
+    entries = F.transform(F.map_entries(F.col(props) if isinstance(props, str) else props), lambda e: F.struct(_plain(e["key"]).alias("key"), e["value"].alias("value")))
+    return let(let(entries, lambda e: F.struct(e.alias("entries"), F.transform(e, lambda x: x["key"]).alias("keys"))), first)
+
+
 def pick(props: str | Column, key: str) -> Column:
     """The value of a key, matched without regard to case and blanks."""
-    want = key.lower().replace(" ", "")
-    hit = F.filter(F.map_entries(F.col(props) if isinstance(props, str) else props), lambda e: F.lower(F.replace(e["key"], F.lit(" "), F.lit(""))) == want)
-    return F.get(hit, 0)["value"]
+    return F.try_element_at(plain_keys(props), F.lit(key.lower().replace(" ", "")))
 
 
 def flatten_props(df: DataFrame, keys: list[str] | tuple[str, ...] | None = None, col: str = "props") -> DataFrame:
-    """One column for each key; without keys, for those found in the data."""
-    found = property_keys(df, col) if keys is None else keys
-    return df.select(*(c for c in df.columns if c != col), *((F.col(col)[k] if keys is None else pick(col, k)).alias(k) for k in found))
+    """One column for each key, matched without regard to case and blanks; without keys, for those found in the data."""
+    rest = [f"`{c}`" for c in df.columns if c != col]
+    if keys is None:
+        return df.select(*rest, *(F.col(col)[k].alias(k) for k in property_keys(df, col)))
+    plain = df.withColumn(col, plain_keys(col))
+    return plain.select(*rest, *(F.try_element_at(col, F.lit(k.lower().replace(" ", ""))).alias(k) for k in keys))
 
 
 def flatten_page_views(df: DataFrame, start: str, end: str, ts: str = "timestamp [UTC]", properties: tuple[str, ...] = PAGE_PROPERTIES) -> DataFrame:
-    """Page views of a time window with their page properties as columns, newest first."""
+    """Page views of a time window with their page properties as columns.  For a listing, sort by newest_first."""
     when = F.try_to_timestamp(F.col(f"`{ts}`").cast("string"))
     inside = df.filter(when.between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"))).withColumn("props", parse_custom_dimensions("customDimensions")).drop("customDimensions")
-    return flatten_props(inside, [f"cp_{p}" for p in properties]).orderBy(F.desc(f"`{ts}`"), "id")
+    return flatten_props(inside, [f"cp_{p}" for p in properties])
 
 
 def flatten_click_events(df: DataFrame, start: str, end: str, ts: str = "timestamp") -> DataFrame:
-    """Click events of a time window with their click properties as columns, newest first."""
+    """Click events of a time window with their click properties as columns.  For a listing, sort by newest_first."""
     inside = df.filter((F.col("name") == "click_event") & F.col(ts).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
     inside = inside.withColumn("props", parse_custom_dimensions("customDimensions")).drop("customDimensions")
-    return flatten_props(inside, [f"cp_{p}" for p in CLICK_PROPERTIES]).orderBy(F.desc(ts), "id")
+    return flatten_props(inside, [f"cp_{p}" for p in CLICK_PROPERTIES])
+
+
+def newest_first(df: DataFrame, ts: str) -> DataFrame:
+    return df.orderBy(F.desc(f"`{ts}`"), "id")
 
 
 def clean_page_views(df: DataFrame) -> DataFrame:

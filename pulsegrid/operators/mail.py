@@ -12,16 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tracking import pack_key
-from pulsegrid.functions.values import active_only, final_device_type, seconds_to_event, share, timespan_hours
+from pulsegrid.functions.values import active_only, apart, final_device_type, seconds_to_event, share, timespan_hours
 
 Tables = Mapping[str, DataFrame]
 ORG = ("region", "country", "division", "area")
 
 
 def enrich_hr(df: DataFrame, t: Tables, columns: tuple[str, ...] = ORG) -> DataFrame:
-    """Adds organisation columns by person_key; rows without an employee or cost centre stay."""
-    who = t["hr_employee"].select("person_key", "org_unit").join(t["hr_costcenter"], "org_unit", "left").select("person_key", *columns)
-    return df.join(who, "person_key", "left")
+    """Adds organisation columns by person_key; rows without an employee or cost centre stay, and those without a
+    person are spread by a hash of the row."""
+    who = t["hr_employee"].select("person_key", "org_unit").join(t["hr_costcenter"], "org_unit", "left").select(F.col("person_key").alias("__who"), *columns)
+    rest = [c for c in df.columns if c != "person_key"]
+    return df.join(who, apart(F.col("person_key"), *rest) == F.col("__who"), "left").select("person_key", *rest, *columns)
 
 
 def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:
@@ -152,15 +154,16 @@ def timespan_rollup(t: Tables, *dims: str) -> DataFrame:
 
 
 def mailing_by_dim(t: Tables, *dims: str) -> DataFrame:
-    """Recipients of each mailing by organisation: count, unique opens and clicks (null when none)."""
-    n = enrich_hr(t["receivers"], t, dims).groupBy("mailing_id", *dims).agg(F.count("*").alias("n"))
-    e = enrich_hr(active_only(t["engagement"]), t, dims)
-    kind = lambda k: F.nullif(F.count_distinct(F.when(F.col("link_type") == k, F.col("person_key"))), F.lit(0))
-    u = e.groupBy(F.col("mailing_id").alias("__m"), *(F.col(d).alias(f"__{d}") for d in dims)).agg(kind("OPEN").alias("unique_opens"), kind("CLICK").alias("unique_clicks"))
-    on = F.col("mailing_id") == F.col("__m")
-    for d in dims:
-        on = on & F.col(d).eqNullSafe(F.col(f"__{d}"))
-    return n.join(u, on, "left").select("mailing_id", *dims, "n", "unique_opens", "unique_clicks")
+    """Recipients of each mailing by organisation: count, unique opens and clicks (null when none).
+
+    Receivers and events meet as one row per mailing and person; the organisation is looked up for those only."""
+    r = t["receivers"].select("mailing_id", "person_key", F.lit(1).alias("received"), F.lit(None).cast("string").alias("kind"))
+    e = active_only(t["engagement"]).select("mailing_id", "person_key", F.lit(0).alias("received"), F.col("link_type").alias("kind"))
+    did = lambda k: (F.coalesce(F.max(F.col("kind") == k), F.lit(False)) & F.col("person_key").isNotNull()).cast("int").alias(k)
+    per = r.unionByName(e).groupBy("mailing_id", "person_key").agg(F.sum("received").alias("n"), did("OPEN"), did("CLICK"))
+    some = lambda k: F.nullif(F.sum(k), F.lit(0))
+    g = enrich_hr(per, t, dims).groupBy("mailing_id", *dims).agg(F.sum("n").alias("n"), some("OPEN").alias("unique_opens"), some("CLICK").alias("unique_clicks"))
+    return g.filter("n > 0")
 
 
 def mailing_kpi(t: Tables) -> DataFrame:

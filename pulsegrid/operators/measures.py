@@ -113,11 +113,6 @@ def page_detail(fact: DataFrame, pages: DataFrame) -> DataFrame:
 SPANS = (1, 7, 14, 21, 28)
 
 
-def _window_days(df: DataFrame, key: list[str], day: str) -> DataFrame:
-    """Each row once for every day whose windows hold it, with the days between."""
-    return df.withColumn("__back", F.explode(F.sequence(F.lit(0), F.lit(max(SPANS) - 1)))).withColumn("__day", F.date_add(day, F.col("__back")))
-
-
 def datewise_overview(views: DataFrame, keys: list[str], day: str = "day") -> DataFrame:
     """Views of the last 1, 7, 14, 21 and 28 days, for each key and day with views."""
     d = views.groupBy(*keys, day).agg(_n().alias("n"))
@@ -129,14 +124,23 @@ def datewise_overview(views: DataFrame, keys: list[str], day: str = "day") -> Da
 def rolling_unique(views: DataFrame, keys: list[str], user: str, day: str = "day") -> DataFrame:
     """Distinct users of the last 1, 7, 14, 21 and 28 days, for each key and day with views.
 
-    A user counts on the days that its visit covers: rows are made distinct by day first, then each is
-    given to at most 28 days, and distinct users are counted per span without a window of sets."""
-    d = views.select(*keys, user, day).distinct()
-    e = _window_days(d, keys, day)
-    per = e.groupBy(*keys, "__day", user).agg(F.min("__back").alias("back"))
-    counts = per.groupBy(*keys, "__day").agg(*(F.count_if(F.col("back") < s).alias(f"users_{s}d") for s in SPANS))
-    days = d.select(*keys, F.col(day).alias("__day")).distinct()
-    return days.join(counts, [*keys, "__day"]).withColumnRenamed("__day", day)
+    A user counts from a day of visit on until a span is over without another visit.  So only changes are
+    passed on, +1 where a user begins to count and -1 where it ends, and are added up by day."""
+    d = views.filter(F.col(day).isNotNull()).select(*keys, user, day).distinct()
+    w = Window.partitionBy(*keys, user).orderBy(day)
+    since, until = F.datediff(F.col(day), F.lag(day).over(w)), F.datediff(F.lead(day).over(w), F.col(day))
+    d = d.withColumns({"__since": since, "__until": until})
+
+    def change(at: Column, visit: int, **counts: Column) -> Column:
+        return F.struct(at.alias("day"), F.lit(visit).alias("visit"), *(counts.get(f"c{s}", F.lit(0)).cast("int").alias(f"c{s}") for s in SPANS))
+
+    starts = change(F.col(day), 1, **{f"c{s}": F.when(F.col("__since").isNull() | (F.col("__since") >= s), 1).otherwise(0) for s in SPANS})
+    ends = [F.when(F.col("__until").isNull() | (F.col("__until") >= s), change(F.date_add(day, s), 0, **{f"c{s}": F.lit(-1)})) for s in SPANS]
+    e = d.select(*keys, F.explode(F.array_compact(F.array(starts, *ends))).alias("e")).select(*keys, "e.*")
+    e = e.groupBy(*keys, "day").agg(F.max("visit").alias("visit"), *(F.sum(f"c{s}").alias(f"c{s}") for s in SPANS))
+    upto = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)  # a row for each day
+    e = e.select(*keys, F.col("day").alias(day), "visit", *(F.sum(f"c{s}").over(upto).alias(f"users_{s}d") for s in SPANS))
+    return e.filter("visit = 1").drop("visit")
 
 
 def pareto_sites(pages: DataFrame) -> DataFrame:

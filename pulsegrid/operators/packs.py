@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tracking import channel_suffix, is_channel_of, pack_key
-from pulsegrid.functions.values import active_only, optional_eq, scope_articles, share
+from pulsegrid.functions.values import active_only, apart, optional_eq, scope_articles, share
 from pulsegrid.operators import mail
 
 Tables = Mapping[str, DataFrame]
@@ -185,7 +185,8 @@ def tracking_consistency(t: Tables) -> DataFrame:
 
 def bridge_gpn(t: Tables) -> DataFrame:
     """Page views with the person key of the HR row that has both keys; keys stay strings."""
-    return t["page_views"].join(t["hr_employee"].select("gpn", "person_key"), "gpn", "left").select("view_id", "gpn", "person_key")
+    e = t["hr_employee"].select(F.col("gpn").alias("__g"), "person_key")
+    return t["page_views"].join(e, apart(F.col("gpn"), "view_id") == F.col("__g"), "left").select("view_id", "gpn", "person_key")
 
 
 def employee_activity(t: Tables, since: str) -> DataFrame:

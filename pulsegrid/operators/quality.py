@@ -101,9 +101,11 @@ def id_conformance(df: DataFrame, col: str = "tracking_id") -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Keys that occur more than once, with their different values (as few as a key has)."""
-    g = df.groupBy(key).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col(value).cast("string"))), ",").alias("values"))
-    return g.filter("n > 1")
+    """Keys that occur more than once, with their different values.  Only such keys gather values, each once."""
+    many = df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    found = df.select(F.col(key).alias("__k"), F.col(value).cast("string").alias("__v")).distinct()
+    g = many.join(found, F.col(key).eqNullSafe(F.col("__k")), "left").groupBy(key, "n")
+    return g.agg(F.array_join(F.array_sort(F.collect_set("__v")), ",").alias("values")).select(key, "n", "values")
 
 
 def match_strategies(ids: DataFrame, id_col: str, hr: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

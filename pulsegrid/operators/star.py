@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.values import normalize_gpn
+from pulsegrid.functions.values import apart, normalize_gpn
 
 GAP_SECONDS = 1800
 
@@ -30,7 +30,8 @@ def join_hr_asof(views: DataFrame, hr: DataFrame, *, ts: str = "ts", key: str =
     """Adds hr_* columns: from the newest snapshot not after the view's month, each null field filled from the oldest
     snapshot after it.  Both sides' person numbers are normalised.
 
-    Snapshots are cut into intervals, so that each view meets at most one earlier and one later snapshot."""
+    Snapshots are cut into intervals, so that each view meets at most one earlier and one later snapshot.  Views
+    without a person number are spread by their key."""
     fields = [c for c in hr.columns if c not in ("gpn", "snapshot_year", "snapshot_month")]
     ym = (F.col("snapshot_year") * 12 + F.col("snapshot_month")).cast("int")
     h = hr.select(normalize_gpn("gpn").alias("__g"), ym.alias("__ym"), F.struct(*fields).alias("__row")).filter("__g IS NOT NULL")
@@ -39,7 +40,7 @@ def join_hr_asof(views: DataFrame, hr: DataFrame, *, ts: str = "ts", key: str =
     spans = h.select("__g", F.col("__ym").alias("__from"), F.lead("__ym").over(w).alias("__to"), F.col("__row").alias("__now"), F.lead("__row").over(w).alias("__next"))
     first = h.groupBy("__g").agg(F.min("__ym").alias("__to"), F.min_by("__row", "__ym").alias("__next"))
     spans = spans.unionByName(first.select("__g", F.lit(-(1 << 30)).alias("__from"), "__to", F.lit(None).cast(h.schema["__row"].dataType).alias("__now"), "__next"))
-    v = views.withColumns({"__v": normalize_gpn("gpn"), "__m": (F.year(ts) * 12 + F.month(ts)).cast("int")})
+    v = views.withColumns({"__v": apart(normalize_gpn("gpn"), key), "__m": (F.year(ts) * 12 + F.month(ts)).cast("int")})
     on = (F.col("__v") == F.col("__g")) & (F.col("__m") >= F.col("__from")) & (F.col("__to").isNull() | (F.col("__m") < F.col("__to")))
     joined = v.join(spans, on, "left")
     return joined.select(*views.columns, *(F.coalesce(F.col(f"__now.{c}"), F.col(f"__next.{c}")).alias(f"hr_{c}") for c in fields))
@@ -88,9 +89,10 @@ def first_last(df: DataFrame, key: str, value: str, *order: str) -> DataFrame:
 
 
 def dim_page(views: DataFrame, columns: tuple[str, ...] = ("page_name", "url", "site_id", "site_name", "theme", "content_type"), *, ts: str = "ts", view: str = "view_id") -> DataFrame:
-    """The first row of each page, by file, time and view."""
+    """The first row of each page, by time of the file (where source_time is there), file, time and view."""
     have = [c for c in columns if c in views.columns]
-    return views.groupBy("page_id").agg(F.min_by(F.struct(*have), F.struct("source_file", ts, view)).alias("r")).select("page_id", *(F.col(f"r.{c}") for c in have))
+    order = [c for c in ("source_time", "source_file", ts, view) if c in views.columns]
+    return views.groupBy("page_id").agg(F.min_by(F.struct(*have), F.struct(*order)).alias("r")).select("page_id", *(F.col(f"r.{c}") for c in have))
 
 
 def dim_date(views: DataFrame, ts: str = "ts") -> DataFrame:

@@ -55,9 +55,9 @@ query("src05_export_raw_page_views", lambda t: export_raw_page_views(raw_page_vi
 FLAT = 'site_id AS "cp_SiteID", page_id AS "cp_PageId", theme AS "cp_Theme", gpn AS "cp_GPN", tracking_id AS "cp_TrackingID"'
 query("prj01_parse_custom_dimensions", lambda t: raw_page_views(t).select("id", L.parse_custom_dimensions("customDimensions").alias("m")).select("id", F.size("m").alias("n_keys"), F.col("m")["cp_PageId"].alias("page_id"), F.col("m")["env"].alias("env")), T, "SELECT view_id AS id, 8 + CASE WHEN gpn IS NULL THEN 0 ELSE 1 END + CASE WHEN tracking_id IS NULL THEN 0 ELSE 1 END AS n_keys, page_id, 'prod' AS env FROM page_views")
 query("prj02_flatten_props", lambda t: L.flatten_props(raw_page_views(t).select("id", L.parse_custom_dimensions("customDimensions").alias("props"))), T, "SELECT view_id AS id, content_type AS \"cp_ContentType\", gpn AS \"cp_GPN\", page_id AS \"cp_PageId\", page_name AS \"cp_PageName\", url AS \"cp_PageURL\", site_id AS \"cp_SiteID\", site_name AS \"cp_SiteName\", theme AS \"cp_Theme\", tracking_id AS \"cp_TrackingID\", 'prod' AS env FROM page_views")
-query("prj03_flatten_page_views", lambda t: flat(t).select("id", "cp_SiteID", "cp_PageId", "cp_Theme", "cp_GPN", "cp_TrackingID"), T, VIEWS + f" SELECT view_id AS id, {FLAT} FROM v")
+query("prj03_flatten_page_views", lambda t: L.newest_first(flat(t), "timestamp [UTC]").select("id", "cp_SiteID", "cp_PageId", "cp_Theme", "cp_GPN", "cp_TrackingID"), T, VIEWS + f" SELECT view_id AS id, {FLAT} FROM v")
 CLICK = f", c AS (SELECT * FROM custom_events WHERE name = 'click_event' AND ts >= TIMESTAMP '{START}' AND ts <= TIMESTAMP '{END}')"
-query("prj04_flatten_click_events", lambda t: L.flatten_click_events(raw_custom_events(t), START, END).select("id", "cp_LinkType", "cp_ComponentName", "cp_GPN", "cp_Email"), T, CLICK + ' SELECT event_id AS id, link_type AS "cp_LinkType", component AS "cp_ComponentName", gpn AS "cp_GPN", email AS "cp_Email" FROM c')
+query("prj04_flatten_click_events", lambda t: L.newest_first(L.flatten_click_events(raw_custom_events(t), START, END), "timestamp").select("id", "cp_LinkType", "cp_ComponentName", "cp_GPN", "cp_Email"), T, CLICK + ' SELECT event_id AS id, link_type AS "cp_LinkType", component AS "cp_ComponentName", gpn AS "cp_GPN", email AS "cp_Email" FROM c')
 query("prj05_clean_page_views", lambda t: L.clean_page_views(flat(t)).select("view_id", "timestamp", "session_id", "user_id", "page_id", "theme", "gpn", "tracking_id", "cluster", "pack", "channel", "pack_id"), T, VIEWS + f" SELECT view_id, {LOCAL} AS timestamp, session_id, user_id, page_id, theme, gpn, tracking_id, split_part(tracking_id, '-', 1) AS cluster, split_part(tracking_id, '-', 2) AS pack, split_part(tracking_id, '-', 5) AS channel, {P} AS pack_id FROM v")
 query("prj06_to_local_ts", lambda t: t["page_views"].select("view_id", V.to_local_ts("ts").alias("local_ts")), T, f"SELECT view_id, {LOCAL} AS local_ts FROM page_views")
 query("prj08_normalize_gpn", lambda t: t["page_views"].select("view_id", V.normalize_gpn(F.concat(F.lit(" "), F.col("gpn").cast("int").cast("string"), F.lit(".0"))).alias("gpn")), T, "SELECT view_id, CASE WHEN CAST(gpn AS INTEGER) <> 0 THEN gpn END AS gpn FROM page_views")

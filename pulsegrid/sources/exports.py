@@ -11,19 +11,48 @@ EXPORT_COLUMNS = (
     "timestamp [UTC]", "id", "name", "url", "duration", "performanceBucket", "itemType", "customDimensions", "operation_Name", "operation_Id", "operation_ParentId", "session_Id", "user_Id",
     "client_Type", "client_Model", "client_OS", "client_City", "client_StateOrProvince", "client_CountryOrRegion", "client_Browser", "appId", "appName", "iKey", "sdkVersion", "itemCount",
 )
-HR_FIELDS = ("division", "unit", "area", "sector", "segment", "country", "region", "job_title", "management_level")
+# The organisation fields of a raw HR snapshot, and their names in the model.
+HR_NAMES = {
+    "gcrs_division_desc": "division", "gcrs_unit_desc": "unit", "gcrs_area_desc": "area", "gcrs_sector_desc": "sector", "gcrs_segment_desc": "segment", "work_location_country": "country",
+    "work_location_region": "region", "job_title": "job_title", "management_level": "management_level",
+}
+LARGE = 1 << 30
+
+
+def _header(spark: SparkSession, path: str) -> str:
+    """The first line of a file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    opened = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(opened, "UTF-8")).readLine() or ""
+    finally:
+        opened.close()
 
 
 def read_page_view_export(spark: SparkSession, *paths: str) -> DataFrame:
-    """CSV exports as strings, with source_file.  Columns may differ from file to file; files come by name."""
-    files = [spark.read.options(header=True, multiLine=True, escape='"').csv(p).withColumn("source_file", F.col("_metadata.file_name")) for p in sorted(paths)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), files)
+    """CSV exports (files) as strings, with source_file and source_time, the time of the file.  Columns may differ from file to
+    file: files with the same first line are read together, one reader for each kind of header."""
+    kinds: dict[str, list[str]] = {}
+    for p in paths:
+        kinds.setdefault(_header(spark, p), []).append(p)
+    named = {"source_file": F.col("_metadata.file_name"), "source_time": F.col("_metadata.file_modification_time")}
+    read = [spark.read.options(header=True, multiLine=True, escape='"').csv(same).withColumns(named) for same in kinds.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
 
 
 def file_hashes(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(file_name, path, sha256) of the files of a folder, hashed by the tasks."""
+    """(file_name, path, sha256) of the files of a folder, or of one file, hashed by the tasks.
+
+    A file of over LARGE bytes does not fit a row; its hash is of its size and of the sum and number of the hashes of its lines."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", F.sha2("content", 256).alias("sha256"))
+    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
+    out = files.filter(F.col("length") <= LARGE).select(name, "path", F.sha2("content", 256).alias("sha256"))
+    large = {r.path: r.length for r in files.filter(F.col("length") > LARGE).select("path", "length").collect()}  # names of input files only
+    if not large:
+        return out
+    lines = spark.read.text(list(large)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.xxhash64("value").cast("decimal(38,0)").alias("h"))
+    rest = lines.groupBy("path", "size").agg(F.sha2(F.concat_ws(":", F.col("size"), F.count("*"), F.sum("h")), 256).alias("sha256"))
+    return out.unionByName(rest.select(name, "path", "sha256"))
 
 
 def classify_input_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -34,9 +63,11 @@ def classify_input_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def read_hr_history(spark: SparkSession, path: str) -> DataFrame:
-    """Monthly snapshots: gpn, snapshot_year, snapshot_month and those organisation fields that are there."""
+    """Monthly snapshots: gpn, snapshot_year, snapshot_month and those organisation fields that are there, by their names
+    in a raw snapshot or in the model."""
     df = spark.read.parquet(path)
-    return df.select("gpn", "snapshot_year", "snapshot_month", *(c for c in HR_FIELDS if c in df.columns))
+    have = {n: raw if raw in df.columns else n for raw, n in HR_NAMES.items() if raw in df.columns or n in df.columns}
+    return df.select("gpn", "snapshot_year", "snapshot_month", *(F.col(c).alias(n) for n, c in have.items()))
 
 
 def load_table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None, where: str | None = None) -> DataFrame:

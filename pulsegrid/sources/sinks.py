@@ -1,7 +1,8 @@
 """Writing tables: upserts by file or key, first-writer-wins merges, snapshots and exports.
 
-Folders are Parquet tables.  Whatever reads a table that it also replaces writes to a staging folder first
-and swaps, so that readers never see half a table.
+Folders are Parquet tables.  Whatever reads a table that it also replaces writes to a folder beside it first
+and swaps.  While a swap lasts, the table before it stays beside the new one under the name `<table>.before`; a swap
+that was cut short is undone when the table is next looked for or replaced, so that no table is lost.
 """
 
 from __future__ import annotations
@@ -17,22 +18,45 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _recover(spark: SparkSession, path: str) -> None:
+    """Brings back the table of a swap that was cut short, or clears up after one that was not."""
+    fs, target = _fs(spark, path)
+    before = _fs(spark, f"{path}.before")[1]
+    if fs.exists(before):
+        if fs.exists(target):
+            fs.delete(before, True)
+        else:
+            fs.rename(before, target)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
+    _recover(spark, path)
     fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
 def rebuild(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replaces a table: writes beside it, then swaps the folders."""
+    """Replaces a table: writes beside it, sets the old one aside, moves the new one in, and drops the old one."""
     spark, stage = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(stage)
+    _recover(spark, path)
     fs, target = _fs(spark, path)
-    fs.delete(target, True)
+    before = _fs(spark, f"{path}.before")[1]
+    if fs.exists(target):
+        fs.rename(target, before)
     fs.rename(_fs(spark, stage)[1], target)
+    fs.delete(before, True)
+
 
+def upsert_by_source_file(fact: DataFrame, path: str, files: tuple[str, ...] = ()) -> None:
+    """Replaces the rows of each source file in `fact`; the other files' partitions stay as they are.
 
-def upsert_by_source_file(fact: DataFrame, path: str) -> None:
-    """Replaces the rows of each source file in `fact`; the other files' partitions stay as they are."""
+    files: the names of all files that were read; what is stored of one without rows by now goes."""
+    spark = fact.sparkSession
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for name in files:
+        fs, p = _fs(spark, f"{path}/source_file={escaped(name)}")
+        fs.delete(p, True)
     fact.write.partitionBy("source_file").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
@@ -74,9 +98,10 @@ def weighted_sample(df: DataFrame, key: str, order: Column, cap: int = 200) -> D
 
 
 def dashboard_arrays(packs: DataFrame, mail: DataFrame, views: DataFrame, registrations: DataFrame) -> dict[str, DataFrame]:
-    """The four datasets of a dashboard: packs, and counts by (pack, event or status, day) of each channel."""
-    count = lambda df, kind: df.groupBy("pack_id", kind, "day").agg(F.count("*").alias("n"))
-    return {"packs": packs, "email_events": count(mail, "event"), "page_views": views.groupBy("pack_id", "day").agg(F.count("*").alias("n")), "event_regs": count(registrations, "status")}
+    """The four datasets of a dashboard: packs, and counts by (pack, event or status, day) of each channel.  mail (pack_id,
+    event, day), views (pack_id, day) and registrations (pack_id, status, day) are rows of facts."""
+    count = lambda df, *by: df.groupBy("pack_id", *by, "day").agg(F.count("*").alias("n"))
+    return {"packs": packs, "email_events": count(mail, "event"), "page_views": count(views), "event_regs": count(registrations, "status")}
 
 
 def export_dashboard(arrays: dict[str, DataFrame], folder: str) -> None:

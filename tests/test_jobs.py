@@ -2,7 +2,11 @@
 
 import csv
 import json
+import os
 
+from pyspark.sql import functions as F
+
+from pulsegrid.operators import flatten, star
 from pulsegrid.plans import jobs
 from pulsegrid.sources import exports, sinks
 from pulsegrid.streaming import ingest
@@ -39,6 +43,63 @@ def test_incremental_run(spark, tmp_path):
     assert t["dim_date"].count() == 2 and {r.view_id for r in t["fact_page_view"].collect()} == {"v1", "v2", "v4"}
 
 
+def test_files_that_become_empty_and_runs_cut_short(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    write(source / "a=1.csv", [("2024-01-01 10:00:00", "v1", "s1", "p1")])
+    write(source / "b.csv", [("2024-01-02 10:00:00", "v2", "s2", "p2")])
+    jobs.run(spark, str(source), target)
+    write(source / "a=1.csv", [])
+    with monkeypatch.context() as m:
+        m.setattr(jobs.star, "agg_session", lambda *a, **b: 1 / 0)
+        try:
+            jobs.run(spark, str(source), target)
+        except ZeroDivisionError:
+            pass
+    t = jobs.run(spark, str(source), target)
+    assert [r.view_id for r in t["fact_page_view"].collect()] == ["v2"] and [r.session_id for r in t["agg_session"].collect()] == ["s2"]
+    assert {r.file_name: r.row_count for r in t["processed_files"].collect()} == {"a=1.csv": 0, "b.csv": 1}
+    (tmp_path / "out/dim_page").rename(tmp_path / "out/dim_page.before")  # a swap that was cut short
+    write(source / "b.csv", [("2024-01-02 10:00:00", "v3", "s2", "p3")])
+    assert {r.page_id for r in jobs.run(spark, str(source), target)["dim_page"].collect()} == {"p1", "p2", "p3"}
+    one = jobs.run(spark, str(source / "b.csv"), str(tmp_path / "one"))
+    assert [r.view_id for r in one["fact_page_view"].collect()] == ["v3"]
+
+
+def test_earlier_files_first(spark, tmp_path):
+    for name, page, at in (("z.csv", "old name", 1_700_000_000), ("a.csv", "new name", 1_700_000_100)):
+        with (tmp_path / name).open("w", newline="") as f:
+            w = csv.writer(f)
+            w.writerow([*COLUMNS, *(["client_City"] if name == "a.csv" else [])])
+            w.writerow(["2024-01-01 10:00:00", "v" + name, "pageView", "u", "s", "u1", json.dumps({"CustomProps": {"PageId": "p", "PageName": page, "TargetRegion": "EMEA", "targetorganisation": "Org"}}), "1", *(["x"] if name == "a.csv" else [])])
+        os.utime(tmp_path / name, (at, at))
+    raw = exports.read_page_view_export(spark, *(str(tmp_path / n) for n in ("a.csv", "z.csv")))
+    assert raw.filter("client_City = 'x'").count() == 1
+    page = jobs.build(raw)[1].first()
+    assert (page.page_name, page.target_region, page.target_org) == ("old name", "EMEA", "Org")
+
+
+def test_raw_names(spark, tmp_path):
+    raw = ["gcrs_division_desc", "gcrs_unit_desc", "gcrs_area_desc", "gcrs_sector_desc", "gcrs_segment_desc", "work_location_country", "work_location_region", "job_title", "management_level"]
+    spark.createDataFrame([("1", 2024, 1, *"abcdefghi")], ["gpn", "snapshot_year", "snapshot_month", *raw]).write.parquet(str(tmp_path / "hr"))
+    hr = exports.read_hr_history(spark, str(tmp_path / "hr"))
+    view = spark.createDataFrame([("v1", "1.0", "2024-01-05 10:00:00")], "view_id string, gpn string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = star.join_hr_asof(view, hr).first()
+    assert [got[f"hr_{n}"] for n in ("division", "unit", "area", "sector", "segment", "country", "region", "job_title", "management_level")] == list("abcdefghi")
+    noise = "appId iKey sdkVersion itemCount itemType operation_Id operation_ParentId operation_Name client_IP client_Type client_Model performanceBucket name url client_City client_StateOrProvince cp_NewsCategory".split()
+    df = spark.createDataFrame([("2024-01-01 10:00:00", "v1", "tr", *noise)], ["timestamp [UTC]", "id", "cp_TargetRegion", *noise])
+    assert flatten.clean_page_views(df).columns == ["timestamp", "view_id", "target_region"]
+
+
+def test_hashes_of_large_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    (tmp_path / "b.csv").write_text("x\n1\n")
+    (tmp_path / "c.csv").write_text("x\n2\n")
+    monkeypatch.setattr(exports, "LARGE", 1)
+    got = {r.file_name: r.sha256 for r in exports.file_hashes(spark, str(tmp_path)).collect()}
+    assert len(got) == 3 and got["a.csv"] == got["b.csv"] != got["c.csv"]
+
+
 def test_file_status(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n1\n")
     known = exports.file_hashes(spark, str(tmp_path)).select("file_name", "sha256").collect()
