@@ -1,6 +1,6 @@
 """Exact top-k search by inner product: a Voronoi join.
 
-Pivots are drawn from the vectors by a hash; every vector belongs to the cell of its nearest pivot.  A cell's
+Pivots are drawn from the different vectors by a hash; every vector belongs to the cell of its nearest pivot.  A cell's
 summary is its pivot, its radius, and the distances of its nearest members to the pivot, an id counting once, in
 the cell where it is nearest, so that a query's own rows are one of them at most.  For a query q, a
 member x of a cell with pivot p satisfies  q.p - |q| |x - p| <= q.x <= q.p + |q| |x - p|.  The left side over
@@ -109,8 +109,10 @@ def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
     spark = vectors.sparkSession
     n, n_queries = vectors.count(), vectors.filter(queries).count()
     m = int(min(MAX_PIVOTS, max(1, n**0.5)))
-    drawn = vectors.orderBy(F.xxhash64(F.lit(31), "id"), "id").limit(m).select("v").collect()  # at most MAX_PIVOTS rows
-    pivots = np.array(list(dict.fromkeys(tuple(r.v) for r in drawn)), float).reshape(-1, dim)
+    marked = vectors.select(F.xxhash64(F.lit(31), "v").alias("h"), "v")
+    drawn = marked.select("h").distinct().orderBy("h").limit(m)  # different vectors, however often each is repeated
+    drawn = marked.join(F.broadcast(drawn), "h").groupBy("h").agg(F.first("v").alias("v")).orderBy("h").collect()  # at most MAX_PIVOTS rows
+    pivots = np.array([r.v for r in drawn], float).reshape(-1, dim)
     data = written(_cells(vectors, pivots))
 
     alone = data.groupBy("id").agg(F.min(F.struct("far", "cell")).alias("x")).select("x.cell", "x.far")
@@ -179,7 +181,7 @@ OP5_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM (SELECT DISTINCT vec_id, e FROM v) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 QUALIFY rank <= 5
 """
