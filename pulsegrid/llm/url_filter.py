@@ -7,12 +7,14 @@ its pattern; the as-of join is an equality on the key with the day inside the in
 pattern decides, `allow` before `block`.
 
 Scale: keys are joined as distinct (key, day) pairs, so that a host with a third of all captures costs one
-row for each day; results return to the captures by (url, day).  No side is broadcast unless Spark sees
-that it is small.
+row for each day; results return to the captures by (url, day).  What is known of a (key, day) or a (url, day) is
+a table of its own before captures meet it, as Spark splits the rows of a frequent key in a join of two tables, but not
+in a join with an aggregate.  No side is broadcast unless Spark sees that it is small.
 
 Cases: a null URL, one without a host, or a null day has no active entry and is kept; entries with a null
 field are ignored; on one day a removal counts after an addition; repeated entries count once; repeated
-captures are each returned; other columns of the captures are kept.
+captures are each returned; other columns of the captures are kept, but the results take the place of columns named
+as they are.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.arrays import set_aside
+from pulsegrid.llm.session import written
+
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
@@ -49,15 +54,21 @@ def keys(url: Column) -> Column:
 
 def judge(captures: DataFrame, entries: DataFrame, *, url: str = "url", day: str = "day") -> DataFrame:
     """captures plus n_active, pattern, list (of the deciding entry, or null) and verdict, `keep` or `drop`."""
-    u = captures.select(F.col(url).alias("__u"), F.col(day).alias("__d")).dropna().distinct()
+    results = ("n_active", "pattern", "list", "verdict")
+    named, back = set_aside(captures, *results, "__u", "__d", "__n", "__best")
+    away = {old: new for new, old in back.items()}
+    at_url, at_day = F.col(away.get(url, url)), F.col(away.get(day, day))
+    u = written(named.select(at_url.alias("__u"), at_day.alias("__d")).dropna().distinct())
     u = u.filter(host(F.col("__u")).isNotNull()).select("__u", "__d", F.explode(keys(F.col("__u"))).alias("key"))
     span = intervals(entries)
     inside = (F.col("key") == F.col("pattern")) & (F.col("__d") >= F.col("start")) & (F.col("stop").isNull() | (F.col("__d") < F.col("stop")))
-    active = u.select("key", "__d").distinct().join(span, inside).groupBy("key", "__d").agg(F.count("*").alias("n"), F.min("list").alias("list"))  # allow sorts before block
-    best = F.max(F.struct(F.length("key").alias("size"), "key", "list")).alias("best")
-    told = u.join(active, ["key", "__d"]).groupBy("__u", "__d").agg(F.sum("n").alias("n_active"), best)
-    out = captures.join(told, (F.col(url) == F.col("__u")) & (F.col(day) == F.col("__d")), "left")
-    return out.select(*captures.columns, F.coalesce("n_active", F.lit(0)).alias("n_active"), F.col("best.key").alias("pattern"), F.col("best.list").alias("list"), F.when(F.col("best.list") == "block", "drop").otherwise("keep").alias("verdict"))
+    active = written(u.select("key", "__d").distinct().join(span, inside).groupBy("key", "__d").agg(F.count("*").alias("n"), F.min("list").alias("list")))  # allow sorts before block
+    best = F.max(F.struct(F.length("key").alias("size"), "key", "list")).alias("__best")
+    told = written(u.join(active, ["key", "__d"]).groupBy("__u", "__d").agg(F.sum("n").alias("__n"), best))
+    out = named.join(told, (at_url == F.col("__u")) & (at_day == F.col("__d")), "left").drop("__u", "__d")
+    kept = [c for c in captures.columns if c.lower() not in results]
+    out = out.withColumns({"n_active": F.coalesce("__n", F.lit(0)), "pattern": F.col("__best.key"), "list": F.col("__best.list"), "verdict": F.when(F.col("__best.list") == "block", "drop").otherwise("keep")})
+    return out.drop("__n", "__best").withColumnsRenamed({n: c for n, c in back.items() if c in kept}).select(*(f"`{c}`" for c in kept), *results)
 
 
 FIRST_DAY = "2024-01-01"
