@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.ftrl import Ftrl, feature_rows, fit, probabilities, sampled
 from pulsegrid.llm.session import written
-from pulsegrid.llm.textops import PIECE, U, _span_hashes, encoded, mix, small_batches, spans
+from pulsegrid.llm.textops import U, _span_hashes, encoded, mix, pieces, small_batches
 
 CONFIG = Ftrl(bits=18, alpha=4.0, l1=0.001, l2=0.0005, epochs=8, max_rows=16_000)
 THRESHOLD = 0.3
@@ -52,21 +52,16 @@ def _tokens(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def featurise(raw: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted places and L2-normalised, damped counts of the hashed token n-grams of a whole text."""
-    a, found, shift = np.frombuffer(raw, np.uint8), [], U(64 - bits)
-    for start in range(0, len(a), PIECE):
-        h, shape = _tokens(a[start : start + PIECE])
-        if not len(h):
-            continue
-        pair, same = mix(h[:-1] * U(3) + h[1:] * U(5)), (h[1:] == h[:-1]).astype(U)
-        shapes = mix(shape[:-1] * U(64) + shape[1:] * U(8) + same + U(1000))
-        again = np.concatenate((same[same > 0] + U(200), (h[2:] == h[:-2])[h[2:] == h[:-2]].astype(U) + U(300)))
-        place = [mix(h) >> shift, pair >> shift, mix(shape + U(100)) >> shift, shapes >> shift, mix(again) >> shift]
-        found.append(np.concatenate(place))
-        if sum(map(len, found)) > 1 << 22:
-            found = [np.concatenate(found)]
-    if not found:
+    a, shift = np.frombuffer(raw, np.uint8), U(64 - bits)
+    parts = [_tokens(a[i:j]) for i, j in pieces(a)]  # cut at white space, so that no token is
+    if not sum(len(h) for h, _ in parts):
         return np.zeros(0, np.int64), np.zeros(0)
-    idx, n = np.unique(np.concatenate(found).astype(np.int64), return_counts=True)
+    h, shape = (np.concatenate(x) for x in zip(*parts, strict=True))
+    pair, same = mix(h[:-1] * U(3) + h[1:] * U(5)), (h[1:] == h[:-1]).astype(U)
+    shapes = mix(shape[:-1] * U(64) + shape[1:] * U(8) + same + U(1000))
+    again = np.concatenate((same[same > 0] + U(200), (h[2:] == h[:-2])[h[2:] == h[:-2]].astype(U) + U(300)))
+    place = [mix(h) >> shift, pair >> shift, mix(shape + U(100)) >> shift, shapes >> shift, mix(again) >> shift]
+    idx, n = np.unique(np.concatenate(place).astype(np.int64), return_counts=True)
     val = 1 + np.log(n)
     return idx, val / np.sqrt((val * val).sum())
 
@@ -74,7 +69,7 @@ def featurise(raw: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
 def train(labelled: DataFrame, docs: DataFrame, cfg: Ftrl = CONFIG) -> np.ndarray | None:
     """labelled: doc_id, label (0 or 1); docs: doc_id, text.  None without a usable label."""
     by_doc = labelled.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("y"))
-    by_doc = by_doc.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    by_doc = by_doc.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = sampled(by_doc, cfg, "doc_id", 23)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     bits = cfg.bits
