@@ -6,7 +6,7 @@ Only the text is an input of a prediction.
 
 Bounds: at most about `Ftrl.max_rows` labelled rows fit the weights; document frequencies
 count every training row; every text is scored whole.  The model is 2**bits x languages
-numbers (64-bit bits=16 and 4 languages: 1 MB), and languages must number at most MAX_LANGUAGES.
+numbers, at most about MODEL of them: the more languages, the fewer places the n-grams are hashed to.
 
 Cases: a null text, an empty one or one without a letter is `und` with score 0; rows with a
 null language or a null key train nothing; without any training row all is `und`; repeated
@@ -16,7 +16,7 @@ rows are each scored; other columns of the input are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pulsegrid.llm.session import written
 from pulsegrid.llm.textops import encoded, small_batches
 
 ORDERS = (1, 2, 3)
-MAX_LANGUAGES = 256
+MODEL = 1 << 23
 TEMPERATURES = [round(0.05 * 1.15**i, 4) for i in range(40)]
 _PIECE = 1 << 18
 
@@ -99,12 +99,10 @@ def train(labelled: DataFrame, cfg: Ftrl = Ftrl(), key: str = "doc_id") -> Langu
     """labelled: key, text, lang.  None if there is no usable row."""
     spark = labelled.sparkSession
     labelled = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select(F.col(key).alias("key"), "text", "lang").filter("key IS NOT NULL")
-    languages = [r.lang for r in labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    languages = sorted(r.lang for r in labelled.select("lang").distinct().collect())  # classes of the model, and so few
     if not languages:
         return None
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages.sort()
+    cfg = replace(cfg, bits=max(8, min(cfg.bits, (MODEL // len(languages)).bit_length() - 1)))
     df = document_frequencies(labelled, cfg.bits)
     idf = (np.log((1 + df.max()) / (1 + df)) + 1).astype(np.float32)
     y = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") - 1
