@@ -17,7 +17,7 @@ import oracle
 from conftest import DATA
 
 from pulsegrid.llm import chat, components, decontaminate, knn, language_id, mixing, quality, secrets, simhash, substrings, textops, url_filter
-from pulsegrid.llm.ftrl import Ftrl
+from pulsegrid.llm.ftrl import Ftrl, fit
 from pulsegrid.llm.queries import ORACLE, QUERIES
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -141,7 +141,7 @@ def test_language_cases(spark):
 
 
 def test_quality_accuracy(spark):
-    df = QUERIES["op4_quality"](spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    df = QUERIES["op4_quality"](spark, "/root/testdata/sf0.1").filter("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
     good, bad = (df.filter(f"quality = {q}").agg(F.avg("predicted"), F.avg("score")).first() for q in (1, 0))
     assert good[0] > 0.98 and bad[0] < 0.5 and good[1] - bad[1] > 0.5
 
@@ -153,7 +153,48 @@ def test_quality_cases(spark):
     got = {r.doc_id: r.score for r in quality.score(df.union(df), w).collect()}
     assert got[0] > got[1] and got[2] == got[3] and all(0 <= s <= 1 for s in got.values())
     assert {r.score for r in quality.score(df, quality.train(labels.limit(0), df)).collect()} == {0.5}
-    assert quality.keep_good(df, labels).columns == df.columns
+    clash = df.withColumns({c: F.lit("clash") for c in ("score", "label", "y", "shard")})
+    assert quality.keep_good(clash, labels).columns == clash.columns and {r["shard"] for r in quality.keep_good(clash, labels).collect()} == {"clash"}
+    assert quality.keep_good(df.limit(0), labels).count() == 0
+    raw = (LONG + " x " * 100).encode()
+    a, b = quality.featurise(raw, 18), quality.featurise(raw.replace(b" ", b"   "), 18)  # seams fall elsewhere
+    assert len(raw) > textops.PIECE and (a[0] == b[0]).all() and np.allclose(a[1], b[1])
+
+
+def test_ftrl_against_plain_steps(spark):
+    """One shard of the learner, once more, by loops over the places of each row."""
+    rng, cfg = np.random.default_rng(6), Ftrl(bits=6, alpha=0.7, l1=0.05, l2=0.1, epochs=2, shards=1)
+    for outputs in (1, 3):
+        rows = []
+        for _ in range(40):
+            idx = np.unique(rng.integers(0, 64, 8))
+            rows.append((int(rng.integers(0, max(2, outputs))), idx, rng.normal(size=len(idx)).astype(np.float32)))
+        df = spark.createDataFrame([(y, 0, i.astype(np.uint32).tobytes(), v.tobytes()) for y, i, v in rows], "y int, shard int, idx binary, val binary")
+        got = fit(df, outputs, cfg)
+        z, n = np.zeros((65, outputs)), np.zeros((65, outputs))
+        weight = lambda i, k: 0.0 if abs(z[i, k]) <= cfg.l1 else -(z[i, k] - np.sign(z[i, k]) * cfg.l1) / ((cfg.beta + n[i, k] ** 0.5) / cfg.alpha + cfg.l2)
+        rows.sort(key=lambda r: (len(r[1]), r[0], r[1].astype(np.int64).tobytes(), r[2].astype(float).tobytes()))
+        order = np.arange(len(rows))
+        for epoch in range(cfg.epochs):
+            np.random.default_rng(epoch).shuffle(order)
+            for r in order.tolist():
+                y, idx, val = rows[r][0], [*rows[r][1].tolist(), 64], [*rows[r][2].tolist(), 1.0]
+                w = [[weight(i, k) for k in range(outputs)] for i in idx]
+                score = [sum(v * x[k] for v, x in zip(val, w, strict=True)) for k in range(outputs)]
+                p = [1 / (1 + np.exp(-score[0]))] if outputs == 1 else [np.exp(s - max(score)) / sum(np.exp(t - max(score)) for t in score) for s in score]
+                for i, v, x in zip(idx, val, w, strict=True):
+                    for k in range(outputs):
+                        g = v * (p[k] - (y if outputs == 1 else float(y == k)))
+                        z[i, k] += g - ((n[i, k] + g * g) ** 0.5 - n[i, k] ** 0.5) / cfg.alpha * x[k]
+                        n[i, k] += g * g
+        assert np.allclose(got, [[weight(i, k) for k in range(outputs)] for i in range(65)], atol=1e-5)
+
+
+def test_many_languages_share_the_model(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL", 1 << 12)
+    rows = [(i, f"{chr(97 + k % 26)}{chr(97 + k // 26)}q " * 5, f"l{k:03}") for k in range(300) for i in (2 * k, 2 * k + 1)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), Ftrl(bits=14, shards=2, epochs=1))
+    assert len(model.languages) == 300 and model.bits == 8
 
 
 # 3
@@ -262,6 +303,12 @@ def test_url_cases(spark):
     captures = spark.createDataFrame(c, "page_id long, url string, day int")
     got = sorted((r.page_id, r.verdict, r.n_active) for r in url_filter.judge(captures, entries).collect())
     assert got == [(1, "drop", 1), (1, "drop", 1), (2, "keep", 0), (3, "keep", 2), (4, "keep", 0), (5, "drop", 1), (6, "keep", 0), (7, "keep", 0), (8, "keep", 0), (9, "keep", 0), (10, "keep", 0)]
+    clash = captures.withColumns({c: F.lit("clash") for c in ("N_active", "pattern", "list", "verdict", "best", "key", "__u", "__d", "start")})
+    out = url_filter.judge(clash, entries)
+    assert out.columns == ["page_id", "url", "day", "best", "key", "__u", "__d", "start", "n_active", "pattern", "list", "verdict"]
+    assert sorted((r.page_id, r.verdict, r.n_active) for r in out.collect()) == got and {r["__u"] for r in out.collect()} == {"clash"}
+    long = spark.createDataFrame([(1, "http://a.spam.org/" + "p/" * 3000, 2)], "page_id long, url string, day int")
+    assert [r.verdict for r in url_filter.judge(long, entries).collect()] == ["drop"]
     assert url_filter.judge(captures.limit(0), entries.limit(0)).count() == 0
 
 
@@ -360,6 +407,12 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(m.limit(0)).count() == 0
 
 
+def test_thousands_of_parts(spark):
+    parts = [("image", None, f"r{i}", 1.0) if i % 2 else ("text", f"t{i} ", None, None) for i in range(20_000)]
+    r = chat.format_chats(spark.createDataFrame([(1, 0, "user", parts)], f"conv_id long, turn long, role string, parts {chat.PARTS}")).first()
+    assert r.formatted == "### user:\n" + "".join(f"<|image:{i // 2 + 1}|>" if i % 2 else f"t{i} " for i in range(20_000)) + "</turn>\n" and r.n_tokens_attached == 10_000
+
+
 def test_typed_parts(spark):
     parts = [("text", "look <|", None, None), ("image", None, "s3://a.png", 12.0), ("audio", None, "b.wav", 1.5), (None, "and", None, None), ("image", None, "c.png", None), ("video", None, "d", 3.0)]
     m = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None), (1, 2, "assistant", [])], f"conv_id long, turn long, role string, parts {chat.PARTS}")
@@ -382,7 +435,7 @@ def test_templates(spark):
     q = "On that day Alice bought 12 apples for 3.50 dollars each and then Alice sold 7 of the apples to her friend Bob."
     again = q.replace("Alice", "Carol Jones").replace("12", "1,500").replace("Bob", "Dan").replace("3.50", "4")
     mixed = q.replace("Alice bought", "Carol bought").replace("Alice sold", "Mary sold")
-    items = spark.createDataFrame([(1, q), (2, q), (3, "tiny text"), (4, None), (5, "Six plain words are one window")], "item_id long, text string").withColumn("h", F.lit("clash"))
+    items = spark.createDataFrame([(1, q), (2, q), (3, "small text"), (4, None), (5, "Six plain words are one window")], "item_id long, text string").withColumn("h", F.lit("clash"))
     df = docs(spark, f"Before. {q} After.", f"So: {again}", mixed, None, "", "Six plain, words are one window!", "2 3 4 5 6 7 8 9 10 11", LONG, "tiny text").withColumn("item_id", F.lit("clash"))
     got = sorted((r.doc_id, r.item_id, r.reparameterised) for r in decontaminate.matches(df.union(df.limit(1)), items).collect())
     assert got == [(0, 1, False), (0, 2, False), (1, 1, True), (1, 2, True), (5, 5, False)]
