@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,15 +25,34 @@ def _tables(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
 
 
+_within: ContextVar[str] = ContextVar("within", default="")
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def drop_written(spark: SparkSession) -> None:
     """Deletes what `written` has left for this application; call it when its results are no longer needed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_tables(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _drop(spark, _tables(spark))
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What `written` writes inside goes at the end; results that read it must be written, as lasting, before."""
+    folder = uuid.uuid4().hex
+    before = _within.set(f"{_within.get()}{folder}/")
+    try:
+        yield
+    finally:
+        _drop(spark, f"{_tables(spark)}/{_within.get()}")
+        _within.reset(before)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, lasting: bool = False) -> DataFrame:
     """Writes df to the shared folder and reads it back: a cut of the lineage that any executor can read."""
     spark = df.sparkSession
-    path = f"{_tables(spark)}/{uuid.uuid4().hex}"
+    path = f"{_tables(spark)}/{'' if lasting else _within.get()}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from test_jaccard import brute
 from test_llm import DOC, brute_spans
 
 import corpus_pipeline
-from pulsegrid.llm import quality
+from pulsegrid.llm import quality, session
 from pulsegrid.llm.session import written
 
 
@@ -58,8 +58,26 @@ def test_stages(spark):
 
 
 def test_run_and_empty(spark, tmp_path):
+    folder = Path(session._tables(spark).removeprefix("file:"))
+    before = {*folder.iterdir()} if folder.exists() else set()
     assert corpus_pipeline.run(spark, DATA).count() > 0
+    assert len({*folder.iterdir()} - before) == len(corpus_pipeline.STAGES)  # only the stages' results stay
     spark.createDataFrame([], DOC).write.parquet(str(tmp_path / "documents.parquet"))
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{DATA}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_hard_rows(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows and more columns go through all stages."""
+    rows = [(None, None, None, None, None), (1, None, "en", None, 0), (2, "", None, "s", None), (3, "w " * 150_000, "en", "s", 300_000), (4, "the same words here again", "en", "s", 25), (4, "the same words here again", "en", "s", 25), (None, "the same words here again", None, "s", 25)]
+    more = {c: F.lit("clash") for c in ("size", "target", "taken", "copies", "spans", "base_spans", "score", "fp", "bands", "component_id", "__row", "__id")}
+    spark.createDataFrame(rows, DOC).withColumns(more).write.parquet(str(tmp_path / "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, str(tmp_path)))
+        assert name == "mixing" or out.columns == docs.columns, name
+        assert {r["__id"] for r in out.collect()} <= {"clash"} and out.count() > 0
+        docs = out
