@@ -220,13 +220,14 @@ def classes(fps: DataFrame, *, key: str = "doc_id", distance: int = DISTANCE) ->
 
 
 def linked_classes(fps: DataFrame, found: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """classes, by links (u, v) that are given."""
+    """classes, by links (u, v) that are given.  What is known of a fingerprint or a root is a table before it is joined, so
+    that Spark can split the rows of a frequent one."""
     least = fps.groupBy("fp").agg(F.min(key).alias("least"))
     roots = written(components(found))
     every = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    known = every.join(least, every["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("component_id"))
+    known = written(every.join(least, every["node"] == least["fp"]).groupBy("root").agg(F.min("least").alias("component_id")))
     linked = every.join(known, "root").select(F.col("node").alias("fp"), "component_id")
-    of = written(least.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))  # as a table, so that Spark can split the rows of a frequent fingerprint
+    of = written(least.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
     return fps.join(of, "fp").select(key, "fp", "component_id")
 
 
