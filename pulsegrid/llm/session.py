@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +24,7 @@ def _tables(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
 
 
-_within: ContextVar[str] = ContextVar("within", default="")
+_within: list[str] = []  # folders of the runs of `passing` that are open
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -38,21 +37,24 @@ def drop_written(spark: SparkSession) -> None:
     _drop(spark, _tables(spark))
 
 
+def _folder(spark: SparkSession) -> str:
+    return "/".join([_tables(spark), *_within])
+
+
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[None]:
     """What `written` writes inside goes at the end; results that read it must be written, as lasting, before."""
-    folder = uuid.uuid4().hex
-    before = _within.set(f"{_within.get()}{folder}/")
+    _within.append(uuid.uuid4().hex)
     try:
         yield
     finally:
-        _drop(spark, f"{_tables(spark)}/{_within.get()}")
-        _within.reset(before)
+        _drop(spark, _folder(spark))
+        _within.pop()
 
 
 def written(df: DataFrame, lasting: bool = False) -> DataFrame:
     """Writes df to the shared folder and reads it back: a cut of the lineage that any executor can read."""
     spark = df.sparkSession
-    path = f"{_tables(spark)}/{'' if lasting else _within.get()}{uuid.uuid4().hex}"
+    path = f"{_tables(spark) if lasting else _folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
