@@ -12,9 +12,11 @@ meet in a node of the suffix tree at least `length` words deep.  The tree is nev
 3. A task orders the suffixes of a subtree by their words and takes the lengths of the common prefixes of
    neighbours; `length` and more are the deep internal nodes, whose leaves are repeats.  Neighbouring suffixes
    of a stretch that are leaves of deep nodes are one longer repeat and leave the task as one row.
-4. Where more than `CROWD` stretches share an anchor, prefixes are lengthened to all `length` words.  A group at
-   that length is a deep node by itself, and only its size matters; it is counted by an aggregation, so that a
-   run in a third of all texts goes through no single task.
+4. Where more than `CROWD` stretches share an anchor, stretches alike in all words become one kind first; those of a kind
+   with two or more are repeats as a whole, and the kinds make the trees.  Where over `CROWD` kinds share an anchor,
+   prefixes are lengthened to all `length` words.  A group at that length is a deep node by itself, and only its size
+   matters.  Kinds and such groups are counted by aggregations, so that a run in a third of all texts goes through no
+   single task.
 5. The words that the repeats cover are joined to their texts and removed.
 
 Equal texts are one text with a number of copies: one of them stands for all in the tree, and a text with a
@@ -193,15 +195,35 @@ def repeated_suffixes(docs: DataFrame, copies: DataFrame, *, length: int = LENGT
     places = written(places.join(copies, "id"))
     one = docs.join(places, "id").filter(F.col("key").eqNullSafe(F.col("first")))
     stretch = written(_stretches(one, length))
-    crowded = written(stretch.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("anchor"))
-    calm, found = stretch, None
-    if not crowded.isEmpty():
-        calm = stretch.join(crowded, "anchor", "left_anti")
-        suffix = written(_lengthened(stretch.join(crowded, "anchor", "left_semi"), length))
-        nodes = written(suffix.groupBy("deep").agg(F.count("*").alias("n")).filter("n > 1").select("deep"))
-        found = suffix.join(nodes, "deep").select("id", "place")
-    deep = calm.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_trees(length), "id long, place long")
-    return deep if found is None else deep.unionByName(found)
+    crowded = _crowded(stretch)
+    if crowded.isEmpty():
+        return _by_trees(stretch, length)
+    found = _by_trees(stretch.join(crowded, "anchor", "left_anti"), length)
+    crowd = stretch.join(crowded, "anchor", "left_semi").withColumn("kind", F.xxhash64("anchor", "reach", "n", "words"))
+    kinds = written(crowd.groupBy("kind").agg(*(F.first(c).alias(c) for c in ("anchor", "reach", "n", "words")), F.count("*").alias("copies")))
+    whole = kinds.filter("copies > 1").select("kind", F.col("n").cast("long").alias("place"))
+    part = _deep(kinds.select("anchor", F.col("kind").alias("id"), F.lit(0).cast("long").alias("first"), "reach", "n", "words"), length).withColumnRenamed("id", "kind")
+    part = part.join(kinds.filter("copies = 1").select("kind"), "kind", "left_semi")
+    runs = written(whole.unionByName(part))  # a table, so that Spark can split the rows of a frequent kind
+    return found.unionByName(crowd.join(runs, "kind").select("id", (F.shiftleft("first", 6) + F.col("place")).alias("place")))
+
+
+def _crowded(stretch: DataFrame) -> DataFrame:
+    return written(stretch.groupBy("anchor").agg(F.count("*").alias("count")).filter(F.col("count") > CROWD).select("anchor"))
+
+
+def _by_trees(stretch: DataFrame, length: int) -> DataFrame:
+    return stretch.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_trees(length), "id long, place long")
+
+
+def _deep(stretch: DataFrame, length: int) -> DataFrame:
+    """The repeats (id, place), by trees, or by lengthened prefixes where an anchor is crowded."""
+    crowded = _crowded(stretch)
+    if crowded.isEmpty():
+        return _by_trees(stretch, length)
+    suffix = written(_lengthened(stretch.join(crowded, "anchor", "left_semi"), length))
+    nodes = written(suffix.groupBy("deep").agg(F.count("*").alias("n")).filter("n > 1").select("deep"))
+    return _by_trees(stretch.join(crowded, "anchor", "left_anti"), length).unionByName(suffix.join(nodes, "deep").select("id", "place"))
 
 
 def _removed(raw: bytes, places: np.ndarray, copied: bool, length: int) -> tuple[int, np.ndarray, bytes]:
