@@ -5,11 +5,14 @@ summary is its pivot, its radius, and the distances of its nearest members to th
 the cell where it is nearest, so that a query's own rows are one of them at most.  For a query q, a
 member x of a cell with pivot p satisfies  q.p - |q| |x - p| <= q.x <= q.p + |q| |x - p|.  The left side over
 the nearest members of all cells gives a bound that the k-th best score cannot be below; a cell whose right
-side, with its radius, is below that bound holds no answer.  Queries are grouped by cell into blocks; for each
-block only the cells that some query of it needs are replicated to it, in chunks of bounded size, and
-solved there by matrix products; the best k of each split are merged.
+side, with its radius, is below that bound holds no answer.  Queries are grouped by cell; to each group only the
+cells that some query of it needs are replicated, in chunks of bounded size, and solved there block by block by
+matrix products; the best k of each split are merged.
 
-Scale: pivots number about the square root of the vectors, at most MAX_PIVOTS; only their summaries
+Smaller groups need fewer cells each, but where the bounds exclude little, every group gets nearly all vectors.  So the
+groups are the finest that replicate at most SPREAD times as many vectors as the fewest groups, of one block each, would.
+
+Scale: pivots number about four times the square root of the vectors, at most MAX_PIVOTS; only their summaries
 reach the driver and the tasks (MAX_PIVOTS x (dimensions + k) numbers).  Blocks and chunks have fixed sizes,
 so that a cell with a third of all vectors is many chunks; a block meets the chunks it needs in splits of
 about SPLIT vectors.
@@ -38,6 +41,7 @@ MAX_PIVOTS = 2048
 BLOCK = 1024
 CHUNK = 2048
 SPLIT = 32_768
+SPREAD = 1.5
 _SAFE = float(1 << 53)
 
 
@@ -104,11 +108,23 @@ def _pack(rows: DataFrame, group: str, size: int) -> DataFrame:
     return packs.select(group, F.xxhash64(group, "lot", "part").alias("pack"), F.col("x.id").alias("ids"), F.flatten("x.v").alias("vs"))
 
 
+def _groups(need: DataFrame, data: DataFrame, pivots: np.ndarray, n_queries: int) -> list[int]:
+    """The group of each cell's queries: that of the nearest of the first pivots, of as many as SPREAD allows."""
+    fewest = max(1, min(len(pivots), -(-n_queries // BLOCK)))
+    tried = sorted({min(len(pivots), fewest << i) for i in range(len(pivots).bit_length() + 1)})
+    of = [_distances(pivots, pivots[:g]).argmin(1).tolist() for g in tried]
+    sizes = data.groupBy("cell").agg(F.count("*").alias("size"))
+    each = need.select("cell", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.get(F.lit(g), F.col("own")).alias("to")) for i, g in enumerate(of)))).alias("x"))
+    moved = each.select("cell", "x.i", "x.to").distinct().join(sizes, "cell").groupBy("i").agg(F.sum("size").alias("n")).collect()  # one row for each number tried
+    n = {r.i: r.n for r in moved}
+    return of[max(i for i in n if n[i] <= SPREAD * n[0])] if n else of[0]
+
+
 def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
     """vectors (id, v) of one dimension to (query_id, vec_id, score): the best k of each split of the data."""
     spark = vectors.sparkSession
     n, n_queries = vectors.count(), vectors.filter(queries).count()
-    m = int(min(MAX_PIVOTS, max(1, n**0.5)))
+    m = int(min(MAX_PIVOTS, max(1, 4 * n**0.5)))
     marked = vectors.select(F.xxhash64(F.lit(31), "v").alias("h"), "v")
     drawn = marked.select("h").distinct().orderBy("h").limit(m)  # different vectors, however often each is repeated
     drawn = marked.join(F.broadcast(drawn), "h").groupBy("h").agg(F.first("v").alias("v")).orderBy("h").collect()  # at most MAX_PIVOTS rows
@@ -126,7 +142,7 @@ def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
     def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, p, radius, owner, near = facts.value
         for b in batches:
-            for pack, vs in zip(b["pack"].to_pylist(), b["vs"], strict=True):
+            for own, vs in zip(b["cell"].to_pylist(), b["vs"], strict=True):
                 q = vs.values.to_numpy().reshape(-1, dim)
                 size, mid = np.sqrt((q * q).sum(1))[:, None], q @ p.T
                 low = mid[:, owner] - size * near
@@ -134,15 +150,16 @@ def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
                 high = mid + size * radius
                 slack = 1e-6 * (np.abs(high) + size * (np.sqrt((p * p).sum(1)) + radius) + 1)  # far above rounding
                 cell = cells[(high + slack >= bound[:, None]).any(axis=0)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), pack)), pa.array(cell.astype(np.int32))], names=["block", "cell"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), own, np.int32)), pa.array(cell.astype(np.int32))], names=["own", "cell"])
 
-    n_groups = max(1, min(len(pivots), -(-n_queries // BLOCK)))
-    of_cell = _distances(pivots, pivots[:n_groups]).argmin(1).tolist()
-    asked = data.filter(queries).dropDuplicates(["id", "v"]).withColumn("group", F.get(F.lit(of_cell), F.col("cell")))
-    block = written(_pack(asked, "group", BLOCK))
+    asked = data.filter(queries).dropDuplicates(["id", "v"])
+    need = written(_pack(asked, "cell", BLOCK).select("cell", "vs").mapInArrow(needs, "own int, cell int").distinct())  # at most MAX_PIVOTS**2 rows
+    group = F.lit(_groups(need, data, pivots, n_queries))
+    block = written(_pack(asked.withColumn("group", F.get(group, F.col("cell"))), "group", BLOCK))
     chunk = written(_pack(data, "cell", CHUNK))
+    need = written(need.select(F.get(group, F.col("own")).alias("to"), "cell").distinct())
+    need = block.select(F.col("group").alias("to"), F.col("pack").alias("block")).join(need, "to").select("block", "cell")
     splits = max(1, -(-n // SPLIT))
-    need = written(block.select("pack", "vs").mapInArrow(needs, "block long, cell int"))
     split = F.pmod("pack", F.lit(splits)).alias("split")
     right = chunk.join(need, "cell").select("block", split, "ids", "vs")
     pairs = chunk.select("cell", split).distinct().join(need, "cell").select("block", "split").distinct()
