@@ -45,7 +45,7 @@ LENGTH = 35
 ANCHOR = 10
 CROWD = 2000
 SYMBOL = 6  # bytes of a word's hash that stand for it in a tree
-ROOM = 1 << 20  # words that a task takes up before it passes stretches on
+ROOM = 1 << 18  # words that a task takes up before it passes stretches on
 STRETCH = "anchor long, id long, first long, reach int, n int, words binary"
 
 
@@ -82,7 +82,7 @@ def _stretches(docs: DataFrame, length: int) -> DataFrame:
     """The stretches named in the column `places` of each text, with their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, 256):
+        for b in small_batches(batches, 32):
             held, room = [], 0
             for raw, i, places in zip(encoded(b["text"]), b["id"].to_pylist(), b["places"], strict=True):
                 w = word_hashes(raw)
