@@ -13,7 +13,7 @@ Smaller groups need fewer cells each, but where the bounds exclude little, every
 groups are the finest that replicate at most SPREAD times as many vectors as the fewest groups, of one block each, would.
 
 Scale: pivots number about four times the square root of the vectors, at most MAX_PIVOTS; only their summaries
-reach the driver and the tasks (MAX_PIVOTS x (dimensions + k) numbers).  Blocks and chunks have fixed sizes,
+reach the driver and the tasks (MAX_PIVOTS x (dimensions + k) numbers, and MAX_PIVOTS**2 pairs of cells).  Blocks and chunks have fixed sizes,
 so that a cell with a third of all vectors is many chunks; a block meets the chunks it needs in splits of
 about SPLIT vectors.
 
@@ -110,14 +110,21 @@ def _pack(rows: DataFrame, group: str, size: int) -> DataFrame:
 
 def _groups(need: DataFrame, data: DataFrame, pivots: np.ndarray, n_queries: int) -> list[int]:
     """The group of each cell's queries: that of the nearest of the first pivots, of as many as SPREAD allows."""
-    fewest = max(1, min(len(pivots), -(-n_queries // BLOCK)))
-    tried = sorted({min(len(pivots), fewest << i) for i in range(len(pivots).bit_length() + 1)})
-    of = [_distances(pivots, pivots[:g]).argmin(1).tolist() for g in tried]
-    sizes = data.groupBy("cell").agg(F.count("*").alias("size"))
-    each = need.select("cell", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.get(F.lit(g), F.col("own")).alias("to")) for i, g in enumerate(of)))).alias("x"))
-    moved = each.select("cell", "x.i", "x.to").distinct().join(sizes, "cell").groupBy("i").agg(F.sum("size").alias("n")).collect()  # one row for each number tried
-    n = {r.i: r.n for r in moved}
-    return of[max(i for i in n if n[i] <= SPREAD * n[0])] if n else of[0]
+    m = len(pivots)
+    size = np.zeros(m, np.int64)
+    for r in data.groupBy("cell").agg(F.count("*").alias("n")).collect():  # one row a cell
+        size[r.cell] = r.n
+    pair = need.toArrow()  # at most MAX_PIVOTS**2 rows of two numbers
+    own, cell = (pair[c].to_numpy().astype(np.int64) for c in ("own", "cell"))
+    fewest = max(1, min(m, -(-n_queries // BLOCK)))
+    best, least = [], 0
+    for g in sorted({min(m, fewest << i) for i in range(m.bit_length() + 1)}):
+        of = _distances(pivots, pivots[:g]).argmin(1)
+        moved = int(size[np.unique(of[own] * m + cell) % m].sum())
+        if best and moved > SPREAD * least:
+            break
+        best, least = of.tolist(), least or moved
+    return best
 
 
 def _search(vectors: DataFrame, queries: Column, dim: int, k: int) -> DataFrame:
