@@ -12,11 +12,11 @@ meet in a node of the suffix tree at least `length` words deep.  The tree is nev
 3. A task orders the suffixes of a subtree by their words and takes the lengths of the common prefixes of
    neighbours; `length` and more are the deep internal nodes, whose leaves are repeats.  Neighbouring suffixes
    of a stretch that are leaves of deep nodes are one longer repeat and leave the task as one row.
-4. Where more than `CROWD` stretches share an anchor, stretches alike in all words become one kind first; those of a kind
-   with two or more are repeats as a whole, and the kinds make the trees.  Where over `CROWD` kinds share an anchor,
-   prefixes are lengthened to all `length` words.  A group at that length is a deep node by itself, and only its size
-   matters.  Kinds and such groups are counted by aggregations, so that a run in a third of all texts goes through no
-   single task.
+4. Stretches are range-partitioned by anchor, and a task takes at most `CROWD` stretches of an anchor at a time, so that
+   a run in a third of all texts goes through many tasks.  Of a subtree that is split so, repeats found in one part
+   are repeats; each part hands on the other leaves, and one leaf of each deep node, with prefixes lengthened to all
+   `length` words.  Such a prefix is a node of that depth by itself, and only its number of leaves matters, which an
+   aggregation counts.
 5. The words that the repeats cover are joined to their texts and removed.
 
 Equal texts are one text with a number of copies: one of them stands for all in the tree, and a text with a
@@ -141,47 +141,59 @@ def deep_leaves(anchor: np.ndarray, reach: np.ndarray, n: np.ndarray, words: np.
 
 
 def _trees(length: int):
-    """Of stretches sorted by anchor, the repeats (id, place): place is the first suffix * 64 + how many follow each other."""
-
-    def repeats(b: pa.RecordBatch) -> pa.RecordBatch:
-        first, reach, n = (b[c].to_numpy().astype(np.int64) for c in ("first", "reach", "n"))
-        leaves = deep_leaves(b["anchor"].to_numpy(), reach, n, _words(b["words"]), length)
+    """Of stretches sorted by anchor, the repeats (null, id, place): place is the first suffix * 64 + how many follow each
+    other.  Of anchors that may have more stretches elsewhere, also the other leaves (deep, id, place) and one leaf of
+    each deep node (deep, null, null): deep is the hash of its first `length` words."""
+
+    def repeats(b: pa.RecordBatch, split: set[int]) -> pa.RecordBatch:
+        anchor, ids, first, reach, n = (b[c].to_numpy().astype(np.int64) for c in ("anchor", "id", "first", "reach", "n"))
+        words = _words(b["words"])
+        leaves = deep_leaves(anchor, reach, n, words, length)
         edge = np.diff(np.pad(leaves, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, start = np.nonzero(edge == 1)
         stop = np.nonzero(edge == -1)[1]  # in the same order
         at = first[row] + reach[row] - stop + 1  # the nearer the anchor, the later the suffix
-        return pa.RecordBatch.from_arrays([pa.array(b["id"].to_numpy()[row]), pa.array(at << 6 | stop - start)], names=["id", "place"])
+        out = [(np.zeros(len(row), np.int64), ids[row], at << 6 | stop - start, 0)]
+        rows = np.flatnonzero(np.isin(anchor, list(split)))
+        if len(rows):
+            begin = np.concatenate(([0], np.cumsum(n + length - 1)[:-1]))[rows]
+            deep = gram_hashes(words, length)[_spread(begin, n[rows])].astype(np.int64)  # runs across stretches are not taken
+            of, suffix = np.repeat(rows, n[rows]), _spread(np.zeros(len(rows), np.int64), n[rows])
+            leaf = leaves[of, reach[of] - suffix]
+            out.append((deep[~leaf], ids[of[~leaf]], first[of[~leaf]] + suffix[~leaf] << 6 | 1, 1))
+            node = np.unique(deep[leaf])
+            out.append((node, np.zeros(len(node), np.int64), np.zeros(len(node), np.int64), 2))
+        kind = np.concatenate([np.full(len(d), k) for d, _, _, k in out])
+        deep, i, place = (np.concatenate([x[c] for x in out]) for c in range(3))
+        return pa.RecordBatch.from_arrays([pa.array(deep, mask=kind == 0), pa.array(i, mask=kind == 2), pa.array(place, mask=kind == 2)], names=["deep", "id", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            anchor = b["anchor"].to_numpy()
-            cut = int(np.searchsorted(anchor, anchor[-1]))
-            if cut or rest and rest[-1]["anchor"][-1].as_py() != anchor[-1]:
-                yield repeats(pa.concat_batches([*rest, b.slice(0, cut)]))
-                rest = []
-            rest.append(b.slice(cut))
+        split: set[int] = set()  # the first anchor, the last one, and the latest that was cut
+        held = 0
+        for big in batches:
+            for b in small_batches([big], CROWD):
+                anchor = b["anchor"].to_numpy()
+                if not rest and not split:
+                    split.add(int(anchor[0]))
+                cut = int(np.searchsorted(anchor, anchor[-1]))
+                if rest and (cut or rest[-1]["anchor"][-1].as_py() != anchor[-1]):
+                    yield repeats(pa.concat_batches([*rest, b.slice(0, cut)]), split)
+                    rest, held = [], 0
+                elif cut:
+                    yield repeats(b.slice(0, cut), split)
+                rest.append(b.slice(cut))
+                held += b.num_rows - cut
+                if held > CROWD:
+                    split.add(int(anchor[-1]))
+                    yield repeats(pa.concat_batches(rest), split)
+                    rest, held = [], 0
         if rest:
-            yield repeats(pa.concat_batches(rest))
+            yield repeats(pa.concat_batches(rest), split | {rest[-1]["anchor"][-1].as_py()})
 
     return run
 
 
-def _lengthened(crowd: DataFrame, length: int) -> DataFrame:
-    """(deep, id, place) of each suffix of crowded stretches: the hash of its first `length` words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, 4096):
-            first, n = b["first"].to_numpy(), b["n"].to_numpy().astype(np.int64)
-            g = gram_hashes(_words(b["words"]), length)  # also across stretches; those are not taken
-            begin = np.concatenate(([0], np.cumsum(n + length - 1)[:-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(g[_spread(begin, n)].astype(np.int64)), pa.array(np.repeat(b["id"].to_numpy(), n)), pa.array(_spread(first, n) << 6 | 1)], names=["deep", "id", "place"])
-
-    return crowd.select("id", "first", "n", "words").mapInArrow(run, "deep long, id long, place long")
-
-
 def repeated_suffixes(docs: DataFrame, copies: DataFrame, *, length: int = LENGTH) -> DataFrame:
     """docs (id, key, text), id naming the text, and copies (id, first: the key that stands for it), to (id, place):
     word number * 64 + how many suffixes from there on start with `length` words that also start elsewhere, in
@@ -195,35 +207,11 @@ def repeated_suffixes(docs: DataFrame, copies: DataFrame, *, length: int = LENGT
     places = written(places.join(copies, "id"))
     one = docs.join(places, "id").filter(F.col("key").eqNullSafe(F.col("first")))
     stretch = written(_stretches(one, length))
-    crowded = _crowded(stretch)
-    if crowded.isEmpty():
-        return _by_trees(stretch, length)
-    found = _by_trees(stretch.join(crowded, "anchor", "left_anti"), length)
-    crowd = stretch.join(crowded, "anchor", "left_semi").withColumn("kind", F.xxhash64("anchor", "reach", "n", "words"))
-    kinds = written(crowd.groupBy("kind").agg(*(F.first(c).alias(c) for c in ("anchor", "reach", "n", "words")), F.count("*").alias("copies")))
-    whole = kinds.filter("copies > 1").select("kind", F.col("n").cast("long").alias("place"))
-    part = _deep(kinds.select("anchor", F.col("kind").alias("id"), F.lit(0).cast("long").alias("first"), "reach", "n", "words"), length).withColumnRenamed("id", "kind")
-    part = part.join(kinds.filter("copies = 1").select("kind"), "kind", "left_semi")
-    runs = written(whole.unionByName(part))  # a table, so that Spark can split the rows of a frequent kind
-    return found.unionByName(crowd.join(runs, "kind").select("id", (F.shiftleft("first", 6) + F.col("place")).alias("place")))
-
-
-def _crowded(stretch: DataFrame) -> DataFrame:
-    return written(stretch.groupBy("anchor").agg(F.count("*").alias("count")).filter(F.col("count") > CROWD).select("anchor"))
-
-
-def _by_trees(stretch: DataFrame, length: int) -> DataFrame:
-    return stretch.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_trees(length), "id long, place long")
-
-
-def _deep(stretch: DataFrame, length: int) -> DataFrame:
-    """The repeats (id, place), by trees, or by lengthened prefixes where an anchor is crowded."""
-    crowded = _crowded(stretch)
-    if crowded.isEmpty():
-        return _by_trees(stretch, length)
-    suffix = written(_lengthened(stretch.join(crowded, "anchor", "left_semi"), length))
-    nodes = written(suffix.groupBy("deep").agg(F.count("*").alias("n")).filter("n > 1").select("deep"))
-    return _by_trees(stretch.join(crowded, "anchor", "left_anti"), length).unionByName(suffix.join(nodes, "deep").select("id", "place"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = written(stretch.repartitionByRange(parts, "anchor", "id", "first").sortWithinPartitions("anchor").mapInArrow(_trees(length), "deep long, id long, place long"))
+    handed = leaves.filter("deep IS NOT NULL")
+    nodes = written(handed.groupBy("deep").agg(F.count("*").alias("n")).filter("n > 1").select("deep"))
+    return leaves.filter("deep IS NULL").select("id", "place").unionByName(handed.filter("id IS NOT NULL").join(nodes, "deep").select("id", "place"))
 
 
 def _removed(raw: bytes, places: np.ndarray, copied: bool, length: int) -> tuple[int, np.ndarray, bytes]:
