@@ -34,6 +34,7 @@ class Ftrl:
 
 
 SHARD_ROWS = 2000
+WEIGHTS = 1 << 16  # numbers of a block of weights
 FEATURES = "y int, shard int, idx binary, val binary"
 
 
@@ -71,7 +72,7 @@ def _fit_shard(rows: list[tuple[int, np.ndarray, np.ndarray]], outputs: int, cfg
         np.random.default_rng(epoch).shuffle(order)
         for r in order:
             y, idx, val = rows[r]
-            idx, val = np.append(idx, size - 1), np.append(val, 1.0)
+            idx, val = np.append(idx.astype(np.int64), size - 1), np.append(val.astype(float), 1.0)
             w = weights(idx)
             error = probabilities(val @ w)
             if outputs == 1:
@@ -86,28 +87,42 @@ def _fit_shard(rows: list[tuple[int, np.ndarray, np.ndarray]], outputs: int, cfg
     return weights(np.arange(size))
 
 
-def fit(features: DataFrame, outputs: int, cfg: Ftrl) -> np.ndarray:
-    """Weights ((2**bits + 1) x outputs; the last row is the intercept) from the rows with shard >= 0.
+def fit(rows: DataFrame, outputs: int, cfg: Ftrl, featurise: Callable[[bytes], tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+    """Weights ((2**bits + 1) x outputs; the last row is the intercept) from the rows with shard >= 0: (y, shard, idx, val),
+    or (y, shard, text) with featurise, so that only texts are shuffled.
 
-    A shard holds about max_rows / shards rows in one task; shards without rows do not count.
-    The driver receives one model per shard, whatever the corpus."""
-    size = (1 << cfg.bits) + 1
+    A shard holds about max_rows / shards rows in one task; shards without rows do not count.  The shards' weights are
+    averaged by blocks of places, and the driver receives one model, whatever the corpus."""
+    size, columns = ((1 << cfg.bits) + 1) * outputs, ("y", "shard", *(("text",) if featurise else ("idx", "val")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: dict[int, list] = {}
         for b in batches:
-            for y, s, i, v in zip(*(b[c].to_pylist() for c in ("y", "shard", "idx", "val")), strict=True):
-                by.setdefault(s, []).append((y, np.frombuffer(i, np.uint32).astype(np.int64), np.frombuffer(v, np.float32).astype(float)))
+            if featurise:
+                made = ((np.asarray(i, np.uint32), np.asarray(v, np.float32)) for i, v in map(featurise, encoded(b["text"])))
+            else:
+                made = ((np.frombuffer(i, np.uint32), np.frombuffer(v, np.float32)) for i, v in zip(b["idx"].to_pylist(), b["val"].to_pylist(), strict=True))
+            for y, s, (i, v) in zip(b["y"].to_pylist(), b["shard"].to_pylist(), made, strict=True):
+                by.setdefault(s, []).append((y, i, v))
         for s in sorted(by):
-            rows = sorted(by[s], key=lambda r: (len(r[1]), r[0], r[1].tobytes(), r[2].tobytes()))  # shuffles arrive in any order
-            yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64()), pa.array([_fit_shard(rows, outputs, cfg).astype(np.float32).tobytes()], pa.binary()), pa.array([s], pa.int32())], names=["n", "w", "shard"])
-
-    made = features.filter("shard >= 0").repartition(cfg.shards, "shard").mapInArrow(run, "n long, w binary, shard int")
-    total, count = np.zeros((size, outputs)), 0
-    for n, w, _ in sorted(((r.n, r.w, r.shard) for r in made.collect()), key=lambda r: r[2]):
-        total += n * np.frombuffer(w, np.float32).reshape(size, outputs)
-        count += n
-    return total / max(count, 1)
+            fitted = sorted(by[s], key=lambda r: (len(r[1]), r[0], r[1].tobytes(), r[2].tobytes()))  # shuffles arrive in any order
+            w = _fit_shard(fitted, outputs, cfg).astype(np.float32).ravel()
+            for start in range(0, size, WEIGHTS):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([len(fitted)], pa.int64()), pa.array([start], pa.int64()), pa.array([w[start : start + WEIGHTS].tobytes()], pa.binary())], names=["shard", "n", "start", "w"])
+
+    def mean(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("shard")
+        n = parts["n"].to_numpy()
+        w = sum(k * np.frombuffer(x, np.float32).astype(float) for k, x in zip(n.tolist(), parts["w"].to_pylist(), strict=True)) / n.sum()
+        return pa.table({"start": parts["start"].slice(0, 1), "w": pa.array([w.tobytes()], pa.binary())})
+
+    made = rows.filter("shard >= 0").select(*columns).repartition(cfg.shards, "shard").mapInArrow(run, "shard int, n long, start long, w binary")
+    blocks = made.groupBy("start").applyInArrow(mean, "start long, w binary").toArrow()  # one model
+    total = np.zeros(size)
+    for start, w in zip(blocks["start"].to_pylist(), blocks["w"].to_pylist(), strict=True):
+        part = np.frombuffer(w, float)
+        total[start : start + len(part)] = part
+    return total.reshape(-1, outputs)
 
 
 def sampled(df: DataFrame, cfg: Ftrl, key: str, salt: int, holdout: int = 0) -> DataFrame:
