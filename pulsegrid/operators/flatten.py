@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.tracking import parse_tracking_id
+from pulsegrid.functions.tracking import first_id, parse_tracking_id
 from pulsegrid.functions.values import label_null, lenient_ts, let, normalize_gpn, to_local_ts
 
 MAP = "map<string,string>"
@@ -21,11 +21,15 @@ NAMES = {
     "cp_ContentOwner": "content_owner", "cp_ContentType": "content_type", "cp_Theme": "theme", "cp_Topic": "topic", "cp_TargetRegion": "target_region", "cp_TargetOrganisation": "target_org", "cp_PageStatus": "page_status",
     "cp_PublishingDate": "publishing_date",
 }
+# The properties of a page view.
 PAGE_PROPERTIES = ("SiteID", "SiteName", "PageId", "PageName", "PageStatus", "PageURL", "PublishingDate", "TrackingID", "ContentOwner", "ContentType", "NewsCategory", "Theme", "Topic", "TargetOrganisation", "TargetRegion", "GPN", "Email", "refUri")
+# The properties of a click event.
 CLICK_PROPERTIES = (
-    "GPN", "Email", "SiteID", "SiteName", "PageId", "PageName", "PageURL", "PageStatus", "ContentType", "ContentOwner", "NewsCategory", "Theme", "Topic", "LinkType", "LinkLabel", "LinkAddress", "LinkOpenIn", "ComponentName",
-    "FileName", "FileType", "TargetOrganisation", "TargetRegion", "VideoTitle", "VideoDuration", "VideoPosition", "refUri", "TrackingID", "Language",
+    "GPN", "Email", "SiteID", "SiteName", "PageId", "PageName", "PageURL", "PageStatus", "ContentType", "ContentOwner", "NewsCategory", "PublishingDate", "ComponentName",
+    "Link_Type", "Link_label", "Link_address", "Link_ancestors", "FileType_Label", "FileName_Label", "Theme", "Topic", "TargetOrganisation", "TargetRegion", "refUri",
+    "Video_Action", "Video_Id", "Video_Type", "Video_Duration",
 )
+ID_KEY = "trackingid"  # how the plain form of a property that holds a tracking id ends; what stands before differs by source
 
 
 def parse_custom_dimensions(c: str | Column) -> Column:
@@ -55,31 +59,50 @@ def property_keys(df: DataFrame, col: str = "props") -> list[str]:
 
 
 def _plain(key: Column) -> Column:
-    return F.lower(F.replace(key, F.lit(" "), F.lit("")))
+    return F.lower(F.translate(key, " _", ""))
+
+
+def plain_name(key: str) -> str:
+    """A key without blanks and underscores in lower case, as plain_keys has it."""
+    return key.lower().replace(" ", "").replace("_", "")
 
 
 def plain_keys(props: str | Column) -> Column:
-    """The map with keys in lower case and without blanks; of several alike the first stays."""
+    """The map with keys in lower case, without blanks and underscores; of several alike the first with a value that is not
+    blank stays, or else the first."""
 
     def first(x: Column) -> Column:
-        return F.map_from_entries(F.filter(x["entries"], lambda e, i: F.array_position(x["keys"], e["key"]) == i + 1))
+        at = lambda keys, e: F.array_position(x[keys], e["key"])
+        return F.map_from_entries(F.filter(x["entries"], lambda e, i: F.when(at("filled", e) > 0, at("filled", e)).otherwise(at("keys", e)) == i + 1))
 
     entries = F.transform(F.map_entries(F.col(props) if isinstance(props, str) else props), lambda e: F.struct(_plain(e["key"]).alias("key"), e["value"].alias("value")))
-    return let(let(entries, lambda e: F.struct(e.alias("entries"), F.transform(e, lambda x: x["key"]).alias("keys"))), first)
+    filled = lambda e: F.transform(e, lambda x: F.when(F.trim(x["value"]) != "", x["key"]).otherwise(F.lit(" ")))  # noqa: E731  no plain key is a blank
+    return let(let(entries, lambda e: F.struct(e.alias("entries"), F.transform(e, lambda x: x["key"]).alias("keys"), filled(e).alias("filled"))), first)
 
 
 def pick(props: str | Column, key: str) -> Column:
-    """The value of a key, matched without regard to case and blanks."""
-    return F.try_element_at(plain_keys(props), F.lit(key.lower().replace(" ", "")))
+    """The value of a key, matched without regard to case, blanks and underscores."""
+    return F.try_element_at(plain_keys(props), F.lit(plain_name(key)))
+
+
+def tracking_value(plain: str | Column, key: str = "cp_TrackingID") -> Column:
+    """The tracking id of a map with plain keys: the first value that is not blank or a spelling of nothing, of the key itself
+    and then of all keys that end in `trackingid`, in the order of their names; without any, what the key itself holds."""
+    plain = F.col(plain) if isinstance(plain, str) else plain
+    own = F.try_element_at(plain, F.lit(plain_name(key)))
+    others = F.map_values(F.map_from_entries(F.array_sort(F.map_entries(F.map_filter(plain, lambda k, v: k.endswith(ID_KEY))))))
+    return F.coalesce(F.when(first_id(own).isNotNull(), own), F.get(F.filter(others, lambda v: first_id(v).isNotNull()), 0), own)
 
 
 def flatten_props(df: DataFrame, keys: list[str] | tuple[str, ...] | None = None, col: str = "props") -> DataFrame:
-    """One column for each key, matched without regard to case and blanks; without keys, for those found in the data."""
+    """One column for each key, matched without regard to case, blanks and underscores; without keys, for those found in
+    the data.  A key that ends in `trackingid` takes its value from whichever property of that ending has one."""
     rest = [f"`{c}`" for c in df.columns if c != col]
     if keys is None:
         return df.select(*rest, *(F.col(col)[k].alias(k) for k in property_keys(df, col)))
     plain = df.withColumn(col, plain_keys(col))
-    return plain.select(*rest, *(F.try_element_at(col, F.lit(k.lower().replace(" ", ""))).alias(k) for k in keys))
+    value = lambda k: tracking_value(col, k) if plain_name(k).endswith(ID_KEY) else F.try_element_at(col, F.lit(plain_name(k)))
+    return plain.select(*rest, *(value(k).alias(k) for k in keys))
 
 
 def flatten_page_views(df: DataFrame, start: str, end: str, ts: str = "timestamp [UTC]", properties: tuple[str, ...] = PAGE_PROPERTIES) -> DataFrame:
@@ -103,7 +126,7 @@ def newest_first(df: DataFrame, ts: str) -> DataFrame:
 def clean_page_views(df: DataFrame) -> DataFrame:
     """Noise dropped, names as in the model, times local, dates and person numbers tidy, tracking id split."""
     df = df.drop(*NOISE).withColumnsRenamed({k: v for k, v in NAMES.items() if k in df.columns})
-    ids = [c for c in df.columns if c.lower().startswith("cp_") and c.lower().endswith("trackingid")]  # spellings differ
+    ids = [c for c in df.columns if c.lower().startswith("cp_") and plain_name(c).endswith(ID_KEY)]  # spellings differ
     fixes = {"timestamp": to_local_ts("timestamp")}
     if "publishing_date" in df.columns:
         fixes["publishing_date"] = lenient_ts("publishing_date")

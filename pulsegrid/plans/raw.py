@@ -13,10 +13,16 @@ def _packed(props: dict, by: F.Column) -> F.Column:
     return F.when(by == 0, plain).when(by == 1, text).otherwise(twice)
 
 
+def _ids() -> dict:
+    """The tracking id under one of two prefixed names, of which the other is blank or missing, by row."""
+    turn = F.pmod(F.substring("view_id", 2, 20).cast("long"), F.lit(4))
+    return {"CampaignTrackingID": F.when(turn < 2, F.col("tracking_id")).when(turn == 2, F.lit(" ")), "Campagne Tracking_ID": F.when(turn >= 2, F.col("tracking_id"))}
+
+
 def raw_page_views(t: dict[str, DataFrame]) -> DataFrame:
     v = t["page_views"]
     c = F.col
-    props = {"SiteID": c("site_id"), "SiteName": c("site_name"), "PageId": c("page_id"), "PageName": c("page_name"), "PageURL": c("url"), "Theme": c("theme"), "ContentType": c("content_type"), "GPN": c("gpn").cast("string"), "TrackingID": c("tracking_id")}
+    props = {"SiteID": c("site_id"), "SiteName": c("site_name"), "PageId": c("page_id"), "PageName": c("page_name"), "PageURL": c("url"), "Theme": c("theme"), "ContentType": c("content_type"), "GPN": c("gpn").cast("string"), **_ids()}
     return v.select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp [UTC]"), c("view_id").alias("id"), F.lit("pageView").alias("name"), "url", c("load_ms").alias("duration"), F.lit("<250ms").alias("performanceBucket"),
         c("session_id").alias("session_Id"), c("user_id").alias("user_Id"), F.lit("Browser").alias("client_Type"), F.lit("app").alias("appId"), F.lit(1).alias("itemCount"), "source_file",
@@ -26,5 +32,5 @@ def raw_page_views(t: dict[str, DataFrame]) -> DataFrame:
 
 def raw_custom_events(t: dict[str, DataFrame]) -> DataFrame:
     c = F.col
-    props = {"GPN": c("gpn"), "Email": c("email"), "PageId": c("page_id"), "LinkType": c("link_type"), "ComponentName": c("component")}
+    props = {"GPN": c("gpn"), "Email": c("email"), "PageId": c("page_id"), "Link_Type": c("link_type"), "ComponentName": c("component")}
     return t["custom_events"].select(c("event_id").alias("id"), c("ts").alias("timestamp"), "name", c("user_id").alias("user_Id"), c("session_id").alias("session_Id"), _packed(props, F.pmod(F.substring("event_id", 2, 20).cast("long"), F.lit(3))).alias("customDimensions"))

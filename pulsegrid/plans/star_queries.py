@@ -52,12 +52,13 @@ def flat(t: dict[str, DataFrame]) -> DataFrame:
 LOCAL = "ts + INTERVAL 1 HOUR"
 TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 query("src05_export_raw_page_views", lambda t: export_raw_page_views(raw_page_views(t), START, END).select(F.col("timestamp [UTC]").alias("at"), "id", "url", "user_Id"), T, VIEWS + f" SELECT {TEXT} AS at, view_id AS id, url, user_id AS user_Id FROM v")
+TURN = "CAST(substr(view_id, 2) AS BIGINT) % 4"
 FLAT = 'site_id AS "cp_SiteID", page_id AS "cp_PageId", theme AS "cp_Theme", gpn AS "cp_GPN", tracking_id AS "cp_TrackingID"'
-query("prj01_parse_custom_dimensions", lambda t: raw_page_views(t).select("id", L.parse_custom_dimensions("customDimensions").alias("m")).select("id", F.size("m").alias("n_keys"), F.col("m")["cp_PageId"].alias("page_id"), F.col("m")["env"].alias("env")), T, "SELECT view_id AS id, 8 + CASE WHEN gpn IS NULL THEN 0 ELSE 1 END + CASE WHEN tracking_id IS NULL THEN 0 ELSE 1 END AS n_keys, page_id, 'prod' AS env FROM page_views")
-query("prj02_flatten_props", lambda t: L.flatten_props(raw_page_views(t).select("id", L.parse_custom_dimensions("customDimensions").alias("props"))), T, "SELECT view_id AS id, content_type AS \"cp_ContentType\", gpn AS \"cp_GPN\", page_id AS \"cp_PageId\", page_name AS \"cp_PageName\", url AS \"cp_PageURL\", site_id AS \"cp_SiteID\", site_name AS \"cp_SiteName\", theme AS \"cp_Theme\", tracking_id AS \"cp_TrackingID\", 'prod' AS env FROM page_views")
+query("prj01_parse_custom_dimensions", lambda t: raw_page_views(t).select("id", L.parse_custom_dimensions("customDimensions").alias("m")).select("id", F.size("m").alias("n_keys"), F.col("m")["cp_PageId"].alias("page_id"), F.col("m")["env"].alias("env")), T, f"SELECT view_id AS id, 8 + CASE WHEN gpn IS NULL THEN 0 ELSE 1 END + CASE WHEN tracking_id IS NULL THEN 0 ELSE 1 END + CASE WHEN {TURN} = 2 THEN 1 ELSE 0 END AS n_keys, page_id, 'prod' AS env FROM page_views")
+query("prj02_flatten_props", lambda t: L.flatten_props(raw_page_views(t).select("id", L.parse_custom_dimensions("customDimensions").alias("props"))), T, "SELECT view_id AS id, content_type AS \"cp_ContentType\", gpn AS \"cp_GPN\", page_id AS \"cp_PageId\", page_name AS \"cp_PageName\", url AS \"cp_PageURL\", site_id AS \"cp_SiteID\", site_name AS \"cp_SiteName\", theme AS \"cp_Theme\", 'prod' AS env, " + f"CASE WHEN {TURN} < 2 THEN tracking_id WHEN {TURN} = 2 THEN ' ' END AS \"cp_CampaignTrackingID\", CASE WHEN {TURN} >= 2 THEN tracking_id END AS \"cp_Campagne Tracking_ID\" FROM page_views")
 query("prj03_flatten_page_views", lambda t: L.newest_first(flat(t), "timestamp [UTC]").select("id", "cp_SiteID", "cp_PageId", "cp_Theme", "cp_GPN", "cp_TrackingID"), T, VIEWS + f" SELECT view_id AS id, {FLAT} FROM v")
 CLICK = f", c AS (SELECT * FROM custom_events WHERE name = 'click_event' AND ts >= TIMESTAMP '{START}' AND ts <= TIMESTAMP '{END}')"
-query("prj04_flatten_click_events", lambda t: L.newest_first(L.flatten_click_events(raw_custom_events(t), START, END), "timestamp").select("id", "cp_LinkType", "cp_ComponentName", "cp_GPN", "cp_Email"), T, CLICK + ' SELECT event_id AS id, link_type AS "cp_LinkType", component AS "cp_ComponentName", gpn AS "cp_GPN", email AS "cp_Email" FROM c')
+query("prj04_flatten_click_events", lambda t: L.newest_first(L.flatten_click_events(raw_custom_events(t), START, END), "timestamp").select("id", "cp_Link_Type", "cp_ComponentName", "cp_GPN", "cp_Email"), T, CLICK + ' SELECT event_id AS id, link_type AS "cp_Link_Type", component AS "cp_ComponentName", gpn AS "cp_GPN", email AS "cp_Email" FROM c')
 query("prj05_clean_page_views", lambda t: L.clean_page_views(flat(t)).select("view_id", "timestamp", "session_id", "user_id", "page_id", "theme", "gpn", "tracking_id", "cluster", "pack", "channel", "pack_id"), T, VIEWS + f" SELECT view_id, {LOCAL} AS timestamp, session_id, user_id, page_id, theme, gpn, tracking_id, split_part(tracking_id, '-', 1) AS cluster, split_part(tracking_id, '-', 2) AS pack, split_part(tracking_id, '-', 5) AS channel, {P} AS pack_id FROM v")
 query("prj06_to_local_ts", lambda t: t["page_views"].select("view_id", V.to_local_ts("ts").alias("local_ts")), T, f"SELECT view_id, {LOCAL} AS local_ts FROM page_views")
 query("prj08_normalize_gpn", lambda t: t["page_views"].select("view_id", V.normalize_gpn(F.concat(F.lit(" "), F.col("gpn").cast("int").cast("string"), F.lit(".0"))).alias("gpn")), T, "SELECT view_id, CASE WHEN CAST(gpn AS INTEGER) <> 0 THEN gpn END AS gpn FROM page_views")
@@ -71,7 +72,7 @@ query("prj21_anonymize_clicks", lambda t: L.anonymize_clicks(V.event_family(t["c
 query("prj22_view_date_hour", lambda t: L.with_view_date_hour(t["page_views"].select("view_id", "ts")), T, "SELECT view_id, ts, CAST(ts AS DATE) AS view_date, CAST(hour(ts) AS INTEGER) AS view_hour FROM page_views")
 query("prj23_format_mmss", lambda t: R.time_on_page(t["page_views"]).select("view_id", V.format_mmss(F.floor("time_on_page_s")).alias("top")), T, TOP + " SELECT view_id, CAST(CAST(floor(floor(time_on_page_s) / 60) AS INTEGER) AS VARCHAR) || ':' || lpad(CAST(CAST(floor(time_on_page_s) AS INTEGER) % 60 AS VARCHAR), 2, '0') AS top FROM f")
 query("prj25_compose_tracking_id", lambda t: t["mailings"].filter("tracking_id IS NOT NULL").select("mailing_id", I.compose_tracking_id(F.split_part("tracking_id", F.lit("-"), F.lit(1)), F.split_part("tracking_id", F.lit("-"), F.lit(2)).cast("int"), F.col("created_at"), F.split_part("tracking_id", F.lit("-"), F.lit(4)).cast("int"), F.lit("EMI")).alias("tid")), T, "SELECT mailing_id, split_part(tracking_id, '-', 1) || '-' || split_part(tracking_id, '-', 2) || '-' || strftime(created_at, '%y%m%d') || '-' || split_part(tracking_id, '-', 4) || '-EMI' AS tid FROM mailings WHERE tracking_id IS NOT NULL")
-query("cov21_key_inventory", lambda t: C.key_inventory(raw_custom_events(t).select(L.parse_custom_dimensions("customDimensions").alias("props")), exact=True), T, " UNION ALL ".join(f"SELECT '{k}' AS key, count({c}) AS n, count(DISTINCT {c}) AS n_values, min({c}) AS sample FROM custom_events" for k, c in (("cp_GPN", "gpn"), ("cp_Email", "email"), ("cp_PageId", "page_id"), ("cp_LinkType", "link_type"), ("cp_ComponentName", "component"), ("env", "'prod'"))))
+query("cov21_key_inventory", lambda t: C.key_inventory(raw_custom_events(t).select(L.parse_custom_dimensions("customDimensions").alias("props")), exact=True), T, " UNION ALL ".join(f"SELECT '{k}' AS key, count({c}) AS n, count(DISTINCT {c}) AS n_values, min({c}) AS sample FROM custom_events" for k, c in (("cp_GPN", "gpn"), ("cp_Email", "email"), ("cp_PageId", "page_id"), ("cp_Link_Type", "link_type"), ("cp_ComponentName", "component"), ("env", "'prod'"))))
 # predicates
 query("fil01_in_window", lambda t: t["page_views"].filter(V.in_window("ts", START, END)).select("view_id", "ts"), T, VIEWS + " SELECT view_id, ts FROM v")
 query("fil02_optional_eq", lambda t: t["page_views"].filter(V.optional_eq("site_name", "SITE 2") & V.optional_eq("theme", "")).select("view_id"), T, "SELECT view_id FROM page_views WHERE lower(site_name) = 'site 2'")

@@ -142,3 +142,15 @@ def test_exports(spark, tmp_path):
     assert exports.load_table(spark, str(tmp_path), "s", ["column"], "column = 'a'").count() == 1
     sinks.export_dashboard({"packs": df}, str(tmp_path / "d"))
     assert spark.read.json(str(tmp_path / "d/packs")).count() == 3
+
+
+def test_job_keeps_tracking_ids_of_prefixed_names(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    with (source / "a.csv").open("w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(COLUMNS)
+        for i, props in enumerate(({"AbcTrackingID": "CLU01-0000007-240101-0000001-IAN"}, {"AbcTrackingID": "", "AbdTrackingID": "CLU02-0000008-240101-0000001-ITS"})):
+            w.writerow([f"2024-01-01 10:00:0{i}", f"v{i}", "pageView", "u", "s", "u1", json.dumps({"CustomProps": json.dumps({"PageId": "p", **props})}), "1"])
+    fact = jobs.run(spark, str(source), str(tmp_path / "out"))["fact_page_view"]
+    assert {r.view_id: r.pack_id for r in fact.collect()} == {"v0": "CLU01-0000007", "v1": "CLU02-0000008"}

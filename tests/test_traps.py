@@ -110,3 +110,14 @@ def test_empty_tables(spark):
     hr = spark.createDataFrame([], "gpn string, snapshot_year int, snapshot_month int, division string")
     fact = star.fact_page_view(df, hr)
     assert fact.count() == 0 and star.agg_session(fact).count() == 0 and star.dim_page(df).count() == 0 and star.dim_date(df).count() == 0
+
+
+def test_tracking_ids_under_other_names(spark):
+    rows = [('{"CustomProps":{"XyzTrackingID":" ","Xyz Tracking_ID":"C-2"}}', "C-2"), ('{"CustomProps":{"aTrackingID":"A-1","TrackingID":"T-1"}}', "T-1"), ('{"CustomProps":{"bTrackingID":"nan","aTrackingID":"B-1"}}', "B-1"), ('{"CustomProps":{"PageId":"p"}}', None), ('{"CustomProps":{"TrackingID":""}}', "")]
+    raw = spark.createDataFrame([(str(i), "2024-01-05 10:00:00", r) for i, (r, _) in enumerate(rows)], ["id", "timestamp [UTC]", "customDimensions"])
+    flat = flatten.flatten_page_views(raw, "2024-01-01", "2024-02-01")
+    assert [r.cp_TrackingID for r in flat.orderBy("id").collect()] == [want for _, want in rows]
+    clean = flatten.clean_page_views(flat)
+    assert [r.tracking_id for r in clean.orderBy("view_id").collect()] == ["C-2", "T-1", "B-1", None, None]
+    found = flatten.clean_page_views(flatten.flatten_props(raw.withColumn("props", flatten.parse_custom_dimensions("customDimensions")).drop("customDimensions")))
+    assert {r.tracking_id for r in found.collect()} >= {"C-2", None}
