@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import values as V
 from pulsegrid.functions.tracking import pack_key
 from pulsegrid.operators import mail, packs, quality, star
+from pulsegrid.operators.incremental import MailStore
 from pulsegrid.plans import jobs
-from pulsegrid.plans.mail_queries import FACT, P
+from pulsegrid.plans.mail_queries import GOLD, FACT, P
 from pulsegrid.plans.model import Tables
 from pulsegrid.plans.raw import raw_page_views
 from pulsegrid.plans.registry import query
 from pulsegrid.sources import exports, sinks
+from pulsegrid.sources.keyed import Keyed
 
 T = "page_views page_inventory hr_history metrics mailings"
 MAIL = T + " receivers engagement hr_employee hr_costcenter hr_user event_master registrations plan_packs plan_clusters plan_activities"
@@ -142,6 +144,44 @@ def gold(t: Tables) -> DataFrame:
     return _spark(t).read.parquet(path)
 
 
+def _number(c: str) -> F.Column:
+    """The number of an id that is a letter and a number."""
+    return F.substring(c, 2, 20).cast("long")
+
+
+def merged_receivers(t: Tables) -> DataFrame:
+    """Receivers as they stood before a run, merged with the run's changes: newer rows, repeated updates, and removals."""
+    table, r = Keyed(scratch(_spark(t)), ("mailing_id",), 16), t["receivers"].select("mailing_id", "receiver_id", "log_status", "sent_at")
+    turn = F.split_part("receiver_id", F.lit("-"), F.lit(2)).cast("long") % 5
+    table.create(r.filter(turn != 0).withColumn("log_status", F.when(turn == 1, "Queued").otherwise(F.col("log_status"))))
+    new = r.filter(turn < 2).withColumn("seq", F.lit(2))
+    stale = r.filter(turn == 1).withColumns({"log_status": F.lit("Stale"), "seq": F.lit(1)})
+    gone = r.filter((turn == 3) & (F.col("log_status") == "Bounce")).withColumn("seq", F.lit(3))
+    table.merge(new.unionByName(stale).unionByName(gone), ("mailing_id", "receiver_id"), order=F.col("seq"), deleted=F.col("seq") == 3)
+    return table.read(_spark(t))
+
+
+def merged_engagement(t: Tables) -> DataFrame:
+    """Engagement with one link's rows merged in late and another's soft deletes taken back; few partitions are touched."""
+    table, e = Keyed(scratch(_spark(t)), ("mailing_id",), 16), t["engagement"].select("mailing_id", "id", "link_no", "is_active", "event_at")
+    few = _number("mailing_id") % 50 == 0
+    table.create(e.filter(~(few & (F.col("link_no") == 3))).withColumn("is_active", F.when(few & (F.col("link_no") == 1), 0).otherwise(F.col("is_active"))))
+    table.merge(e.filter(few & F.col("link_no").isin(1, 3)), ("mailing_id", "id"))
+    return table.read(_spark(t))
+
+
+def gold_by_change(t: Tables) -> DataFrame:
+    """Gold kept up to date by changes: late events, soft deletes, removed receivers; equal to a full rebuild."""
+    store, r, e = MailStore(scratch(_spark(t)), 16), t["receivers"], t["engagement"]
+    odd = _number("mailing_id") % 4 == 0
+    before = e.filter(~(odd & (F.col("link_no") == 3))).withColumn("is_active", F.when(odd & (F.col("link_no") == 1), 1 - F.col("is_active")).otherwise(F.col("is_active")))
+    store.load({**{n: t[n] for n in ("mailings", "hr_employee", "hr_costcenter", "hr_user")}, "receivers": r.withColumn("log_status", F.when(odd, "Queued").otherwise(F.col("log_status"))), "engagement": before})
+    store.apply(t, {"engagement": e.filter(odd & F.col("link_no").isin(1, 3)), "receivers": r.filter(odd)})
+    removed = r.filter(_number("mailing_id") % 4 == 1).filter("log_status = 'Bounce'")
+    store.apply(t, {"receivers": removed}, deleted=F.lit(True))
+    return store.gold(_spark(t))
+
+
 def manifest(t: Tables) -> DataFrame:
     files = t["page_views"].groupBy(F.col("source_file").alias("file_name")).agg(F.count("*").alias("row_count"), F.sha2(F.max("view_id"), 256).alias("sha256"))
     old = files.withColumns({"row_count": F.lit(0).cast("long"), "file_name": F.replace("file_name", F.lit("_b"), F.lit("_c"))})
@@ -174,6 +214,9 @@ query("src04_load_table", lambda t: exports.load_table(*t._from, "orders.parquet
 query("snk01_upsert_by_source_file", upserted, T, "SELECT view_id, page_id, source_file FROM page_views WHERE source_file = 'export_a.csv' OR page_id < 'p2'")
 query("snk03_record_processed", manifest, T, ", f AS (SELECT source_file AS file_name, count(*) AS row_count, sha256(max(view_id)) AS sha256 FROM page_views GROUP BY 1) SELECT * FROM f UNION ALL SELECT replace(file_name, '_b', '_c'), 0, sha256 FROM f WHERE replace(file_name, '_b', '_c') NOT IN (SELECT file_name FROM f)")
 query("snk05_write_star_schema", star_written, T, "SELECT 'fact_page_view' AS name, count(*) AS n FROM page_views UNION ALL SELECT 'agg_session', count(DISTINCT session_id) FROM page_views UNION ALL SELECT 'dim_page', count(DISTINCT page_id) FROM page_views UNION ALL SELECT 'dim_date', count(DISTINCT CAST(ts AS DATE)) FROM page_views")
+query("snk06_merge_receivers", merged_receivers, MAIL, "SELECT mailing_id, receiver_id, log_status, sent_at FROM receivers WHERE NOT (CAST(split_part(receiver_id, '-', 2) AS BIGINT) % 5 = 3 AND log_status = 'Bounce')")
+query("snk06_merge_engagement", merged_engagement, MAIL, "SELECT mailing_id, id, link_no, is_active, event_at FROM engagement")
+query("snk08_gold_by_change", gold_by_change, MAIL, GOLD.replace("FROM receivers", "FROM (SELECT * FROM receivers WHERE NOT (CAST(substr(mailing_id, 2) AS BIGINT) % 4 = 1 AND log_status = 'Bounce'))") + " SELECT * FROM g")
 query("snk07_snapshot_and_append", snapshots, T, "SELECT page_id, site_id FROM page_inventory WHERE site_id <> 's1' UNION ALL SELECT page_id, site_id FROM page_inventory WHERE site_id = 's2'")
 query("snk08_rebuild_gold", gold, T, "SELECT page_id, CAST(sum(views) AS BIGINT) AS views FROM metrics WHERE views >= 2 GROUP BY 1")
 query("prj07_lenient_ts", lambda t: t["page_views"].select("view_id", V.lenient_ts(F.when(F.col("page_id") == "p1", "soon").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))).alias("at")), T, "SELECT view_id, CASE WHEN page_id <> 'p1' THEN date_trunc('second', ts) END AS at FROM page_views")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EXPORT_COLUMNS = (
@@ -16,7 +16,6 @@ HR_NAMES = {
     "gcrs_division_desc": "division", "gcrs_unit_desc": "unit", "gcrs_area_desc": "area", "gcrs_sector_desc": "sector", "gcrs_segment_desc": "segment", "work_location_country": "country",
     "work_location_region": "region", "job_title": "job_title", "management_level": "management_level",
 }
-LARGE = 1 << 30
 
 
 def _header(spark: SparkSession, path: str) -> str:
@@ -41,18 +40,28 @@ def read_page_view_export(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def file_hashes(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(file_name, path, sha256) of the files of a folder, or of one file, hashed by the tasks.
-
-    A file of over LARGE bytes does not fit a row; its hash is of its size and of the sum and number of the hashes of its lines."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
-    out = files.filter(F.col("length") <= LARGE).select(name, "path", F.sha2("content", 256).alias("sha256"))
-    large = {r.path: r.length for r in files.filter(F.col("length") > LARGE).select("path", "length").collect()}  # names of input files only
-    if not large:
-        return out
-    lines = spark.read.text(list(large)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.xxhash64("value").cast("decimal(38,0)").alias("h"))
-    rest = lines.groupBy("path", "size").agg(F.sha2(F.concat_ws(":", F.col("size"), F.count("*"), F.sum("h")), 256).alias("sha256"))
-    return out.unionByName(rest.select(name, "path", "sha256"))
+    """(file_name, path, sha256) of the files of a folder, or of one file.
+
+    One way at every size: tasks read lines (split at line feeds only) and hash each; a split of a file gives the sums of its
+    hashes and of hash times line number, so that exchanged lines differ; splits are shifted to their place by the numbers of
+    lines before them, and a file's sums, size and number of lines are hashed.  So the hash does not depend on how a file
+    was split, and no file has to fit a task.  A file without a byte is no export and is not listed.  A line's hash is 80 bits of its SHA-256, in two halves."""
+    named = [F.col("_metadata.file_path").alias("file")]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length", *named)
+    lines = spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
+    digest = F.sha2(F.col("value").cast("binary"), 256)
+    halves = [F.conv(F.substring(digest, 1 + 10 * i, 10), 16, 10).cast("decimal(38,0)") for i in (0, 1)]
+    place = F.monotonically_increasing_id()  # lines of a split are consecutive
+    each = lines.select(*named, F.col("_metadata.file_block_start").alias("start"), place.alias("place"), *(h.alias(f"h{i}") for i, h in enumerate(halves)))
+    sums = [a for i in (0, 1) for a in (F.sum(f"h{i}").alias(f"s{i}"), F.sum(F.col(f"h{i}") * (F.col("place") % (1 << 33)).cast("decimal(11,0)")).alias(f"p{i}"))]
+    splits = each.groupBy("file", "start").agg(F.count("*").alias("n"), (F.min("place") % (1 << 33)).cast("decimal(38,0)").alias("first"), *sums)
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a split
+    splits = splits.withColumn("shift", (before - F.col("first")).cast("decimal(38,0)"))
+    moved = lambda i: F.sum((F.col(f"p{i}") + F.col("shift") * F.col(f"s{i}")).cast("decimal(38,0)"))
+    whole = splits.groupBy("file").agg(F.sum("n").alias("lines"), *(F.sum(f"s{i}").alias(f"s{i}") for i in (0, 1)), *(moved(i).alias(f"p{i}") for i in (0, 1)))
+    parts = ["length", "lines", "s0", "s1", "p0", "p1"]
+    sha = F.sha2(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in parts)), 256)
+    return files.join(whole, "file", "left").select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", sha.alias("sha256"))
 
 
 def classify_input_files(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -91,15 +91,6 @@ def test_raw_names(spark, tmp_path):
     assert flatten.clean_page_views(df).columns == ["timestamp", "view_id", "target_region"]
 
 
-def test_hashes_of_large_files(spark, tmp_path, monkeypatch):
-    (tmp_path / "a.csv").write_text("x\n1\n")
-    (tmp_path / "b.csv").write_text("x\n1\n")
-    (tmp_path / "c.csv").write_text("x\n2\n")
-    monkeypatch.setattr(exports, "LARGE", 1)
-    got = {r.file_name: r.sha256 for r in exports.file_hashes(spark, str(tmp_path)).collect()}
-    assert len(got) == 3 and got["a.csv"] == got["b.csv"] != got["c.csv"]
-
-
 def test_file_status(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n1\n")
     known = exports.file_hashes(spark, str(tmp_path)).select("file_name", "sha256").collect()
