@@ -53,10 +53,10 @@ def numbered(rows: DataFrame, n: int) -> DataFrame:
     return rows.withColumn("place", index).join(before, "bucket").withColumn("index", F.col("before") + F.col("place")).drop("bucket", "place", "before")
 
 
-def _blocks(rows: DataFrame, dim: int) -> BlockMatrix:
-    """(index, centred) as a block matrix."""
+def _blocks(rows: DataFrame, n: int, dim: int) -> BlockMatrix:
+    """n rows (index, centred) as a block matrix; with n given, no pass counts them."""
     vectors = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector("centred").alias("vector")), "vector")
-    matrix = IndexedRowMatrix(callMLlibFunc("createIndexedRowMatrix", vectors, 0, dim))
+    matrix = IndexedRowMatrix(callMLlibFunc("createIndexedRowMatrix", vectors, n, dim))
     return matrix.toBlockMatrix(ROWS, dim)
 
 
@@ -98,7 +98,7 @@ def _whiten(rows: DataFrame, dim: int, components: int) -> DataFrame:
     rows = numbered(rows, n).withColumn("t", F.zip_with("x", offset, lambda x, m: x - m))
     data = written(rows.select("index", "key", F.zip_with("t", fraction, lambda t, f: t - f).alias("centred"), _deviation("t", rest, n, most).alias("deviation")))
 
-    matrix = _blocks(data, dim)
+    matrix = _blocks(data, n, dim)
     splits = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // (8 * ROWS))))
     covariance = _product(matrix.transpose(), matrix, splits).toLocalMatrix().toArray() / n
     values, vectors = np.linalg.eigh((covariance + covariance.T) / 2)
