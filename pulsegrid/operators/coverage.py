@@ -233,6 +233,23 @@ def interactions_metrics(views: DataFrame) -> DataFrame:
     return g.agg(_n().alias("views"), F.count_distinct(F.date_trunc("hour", "ts")).alias("visits"), F.sum(F.col("load_ms").cast("decimal(18,2)")).cast("double").alias("duration_sum"))
 
 
+def interactions_fact(views: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """The metric fact from raw views (page_id, ts, contact_id, app, duration, is_comment): page x day x contact x application, with
+    views, visits, summed and mean duration, and comments.
+
+    A visit is a session window: views of one contact on one page in one application without a pause of `gap`; it counts on the day
+    it begins, so that a day may have views and no visit."""
+    keys = ("page_id", "day_key", "contact_id", "app")
+    v = views.withColumn("day_key", F.date_format("ts", "yyyyMMdd"))
+    total = F.sum(F.col("duration").cast("decimal(18,2)")).cast("double")
+    by_day = v.groupBy(*keys).agg(_n().alias("views"), total.alias("duration_sum"), F.try_divide(total, F.count("duration").cast("double")).alias("duration_avg"), F.count_if("is_comment").alias("comments"))
+    visits = v.groupBy("page_id", "contact_id", "app", F.session_window("ts", gap).alias("w")).agg(F.date_format(F.min("ts"), "yyyyMMdd").alias("day_key"))
+    visits = visits.groupBy(*keys).agg(_n().alias("visits"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    out = by_day.alias("a").join(visits.alias("b"), same, "left")
+    return out.select(*(F.col(f"a.{k}").alias(k) for k in keys), "views", F.coalesce("visits", F.lit(0)).alias("visits"), "duration_sum", "duration_avg", "comments")
+
+
 def interactions_window(metrics: DataFrame, as_of: str, days: int = 90) -> DataFrame:
     """Metrics by page over the `days` up to a day."""
     day = F.to_date("day_key", "yyyyMMdd")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.tracking import pack_key
@@ -27,9 +27,10 @@ def enrich_hr(df: DataFrame, t: Tables, columns: tuple[str, ...] = ORG) -> DataF
 
 
 def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:
-    """An equality join without regard to case; still a hash or merge join."""
-    r = right.withColumn("__k", F.lower(right_key))
-    return left.join(r, F.lower(left_key) == F.col("__k"), how).drop("__k")
+    """An equality join without regard to case; still a hash or merge join.  Rows of the left side without a key match nothing
+    and are spread by a hash of the row."""
+    r = right.withColumn("__k", F.lower(right_key)).filter("__k IS NOT NULL") if how in ("left", "inner", "left_semi", "left_anti") else right.withColumn("__k", F.lower(right_key))
+    return left.join(r, apart(F.lower(left_key), *left.columns) == F.col("__k"), how).drop("__k")
 
 
 def email_sends(t: Tables) -> DataFrame:
@@ -136,6 +137,7 @@ def multi_device_share(t: Tables, top: int = 20) -> DataFrame:
     return g.withColumn("share", share(F.col("multi"), F.col("clickers")))
 
 
+LAST_SPAN = "15m+"  # fixed value
 SPANS = (("24h", 24), ("72h", 72), ("1w", 168), ("15w", 2520))
 
 
@@ -143,7 +145,7 @@ def timespan_bucket(hours: Column) -> Column:
     out = F.when(hours < SPANS[0][1], SPANS[0][0])
     for name, n in SPANS[1:]:
         out = out.when(hours < n, name)
-    return out.when(hours.isNotNull(), "15w+")
+    return out.when(hours.isNotNull(), LAST_SPAN)
 
 
 def timespan_rollup(t: Tables, *dims: str) -> DataFrame:
@@ -153,6 +155,23 @@ def timespan_rollup(t: Tables, *dims: str) -> DataFrame:
     return enrich_hr(e, t).groupBy("timespan", *dims, "link_type").agg(F.count("*").alias("n"), F.count_distinct("receiver_id").alias("receivers"))
 
 
+DIMENSIONS = (("event_date",), ("event_date", "event_hour"), ("division", "area"), ("region", "country"))
+
+
+def timespan_rollups(t: Tables, sets: tuple[tuple[str, ...], ...] = DIMENSIONS) -> DataFrame:
+    """All rollups of events by time since sending in one pass over one join: a row for each set of dimensions, named in
+    `by`, and its values; the dimensions of other sets are null."""
+    r = t["receivers"].select("mailing_id", "receiver_id", "sent_at")
+    e = active_only(t["engagement"]).join(r, ["mailing_id", "receiver_id"]).withColumns({"timespan": timespan_bucket(timespan_hours("sent_at", "event_at")), "event_date": F.to_date("event_at"), "event_hour": F.hour("event_at")})
+    dims = list(dict.fromkeys(d for s in sets for d in s))
+    wide = enrich_hr(e, t, tuple(d for d in dims if d in ORG)).select("timespan", "link_type", "receiver_id", *dims)
+    g = wide.groupingSets([["timespan", "link_type", *s] for s in sets], "timespan", "link_type", *dims)
+    names = F.array(*(F.lit("_".join(s)) for s in sets))
+    bits = [sum(1 << (len(dims) - 1 - i) for i, d in enumerate(dims) if d not in s) for s in sets]  # of grouping_id; the first two are in all sets
+    at = F.array_position(F.array(*map(F.lit, bits)), F.grouping_id().cast("int")) - 1
+    return g.agg(F.get(names, at.cast("int")).alias("by"), F.count("*").alias("n"), F.count_distinct("receiver_id").alias("receivers"))
+
+
 def mailing_by_dim(t: Tables, *dims: str) -> DataFrame:
     """Recipients of each mailing by organisation: count, unique opens and clicks (null when none).
 
@@ -237,7 +256,42 @@ def top_creators(t: Tables, n: int = 10) -> DataFrame:
     return enrich_hr(c, t, ("region", "division")).orderBy(F.desc("mailings"), "person_key").limit(n)
 
 
+def _region_cause(t: Tables, df: DataFrame) -> DataFrame:
+    """df (with person_key) with org_unit and region, and why a region is missing; rows without a person are spread."""
+    rest = [c for c in df.columns if c != "person_key"]
+    who = t["hr_employee"].select(F.col("person_key").alias("__who"), "org_unit").join(t["hr_costcenter"].select("org_unit", "region"), "org_unit", "left")
+    d = df.join(who, apart(F.col("person_key"), *(rest or ["person_key"])) == F.col("__who"), "left")
+    cause = F.when(F.col("region").isNotNull(), "region").when(F.col("person_key").isNull(), "no_person").when(F.col("__who").isNull(), "no_employee").when(F.col("org_unit").isNull(), "no_org_unit").otherwise("no_costcenter")
+    return d.withColumn("cause", cause).drop("__who")
+
+
+def _causes(g) -> DataFrame:
+    count = lambda c: F.count_if(F.col("cause") == c).alias(c)
+    return g.agg(F.count("*").alias("n"), F.count_if(F.col("region").isNull()).alias("no_region"), count("no_person"), count("no_employee"), count("no_org_unit"), count("no_costcenter"))
+
+
 def null_region(t: Tables) -> DataFrame:
-    """Per year of sending: recipients, without a region, of these without an employee or without a cost centre."""
-    r = t["receivers"].withColumn("year", F.year("sent_at")).join(t["hr_employee"].select("person_key", "org_unit"), "person_key", "left").join(t["hr_costcenter"].select("org_unit", "region"), "org_unit", "left")
-    return r.groupBy("year").agg(F.count("*").alias("n"), F.count_if(F.col("region").isNull()).alias("no_region"), F.count_if(F.col("org_unit").isNull()).alias("no_employee"), F.count_if(F.col("org_unit").isNotNull() & F.col("region").isNull()).alias("no_costcenter"))
+    """Per year of sending: recipients, without a region, and why."""
+    return _causes(_region_cause(t, t["receivers"].select("person_key", "receiver_id", F.year("sent_at").alias("year"))).groupBy("year"))
+
+
+def null_region_by_mailing(t: Tables) -> DataFrame:
+    """Where missing regions are concentrated: per mailing, with the year of its creation, recipients, those without a region
+    and why, the share of the mailing and of all missing regions."""
+    r = _causes(_region_cause(t, t["receivers"].select("person_key", "receiver_id", "mailing_id")).groupBy("mailing_id"))
+    total = F.sum("no_region").over(Window.partitionBy())  # a row a mailing
+    r = r.join(t["mailings"].select("mailing_id", F.year("created_at").alias("created_year")), "mailing_id", "left")
+    return r.withColumns({"share": share(F.col("no_region"), F.col("n")), "share_of_all": share(F.col("no_region"), total)})
+
+
+def null_region_by_creation(t: Tables) -> DataFrame:
+    """The same by the year of the mailing's creation."""
+    g = null_region_by_mailing(t).groupBy("created_year")
+    return g.agg(F.count("*").alias("mailings"), *(F.sum(c).alias(c) for c in ("n", "no_region", "no_person", "no_employee", "no_org_unit", "no_costcenter")))
+
+
+def null_region_persons(t: Tables, k: int = 100) -> DataFrame:
+    """k persons (the least keys) without a region: whether HR has them, their unit, and whether the unit has a cost centre."""
+    who = t["receivers"].filter("person_key IS NOT NULL").select("person_key").distinct()
+    d = _region_cause(t, who).filter("region IS NULL").orderBy("person_key").limit(k)
+    return d.select("person_key", (F.col("cause") != "no_employee").alias("in_hr"), "org_unit", F.when(F.col("org_unit").isNotNull(), F.lit(False)).alias("in_costcenter"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.tracking import channel_suffix, is_channel_of, pack_key
 from pulsegrid.functions.values import active_only, apart, optional_eq, scope_articles, share
-from pulsegrid.operators import mail
+from pulsegrid.operators import mail, star
 
 Tables = Mapping[str, DataFrame]
 FLOOR, SITE = "2024-09-01", "News and events"
@@ -160,6 +160,39 @@ def attribution_lag(t: Tables, days: int = 30, sent_on: Column | None = None) ->
     return lag.groupBy("pack_id").agg(F.count("*").alias("mailings"), *(F.round(F.percentile(hours, q), 4).alias(f"p{int(q * 100)}_hours") for q in (0.5, 0.9, 0.99)))
 
 
+def next_view(sends: DataFrame, views: DataFrame, key: str, split_hours: int = 24) -> DataFrame:
+    """sends (key, at, ..) with `next_at`, the first view (key, at) of the same key at or after the send: a forward as-of join.
+
+    Both sides lie in one order within (key, stretch of time), so that a key with most rows is many tasks; what is not
+    found in its stretch comes from the first view of the next stretch that has one, carried over a row for each stretch."""
+    rest = [c for c in sends.columns if c not in (key, "at")]
+    kind = sends.schema
+    both = sends.withColumn("seen", F.lit(None).cast(kind["at"].dataType)).unionByName(views.select(key, "at", F.col("at").alias("seen"), *(F.lit(None).cast(kind[c].dataType).alias(c) for c in rest)))
+    both = both.withColumn("__stretch", F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("at")) / (3600 * split_hours)))
+    backwards = Window.partitionBy(key, "__stretch").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("__within", F.min("seen").over(backwards)).filter("seen IS NULL")
+    later = Window.partitionBy(key).orderBy(F.desc("__stretch")).rowsBetween(Window.unboundedPreceding, -1)  # a row a stretch
+    carried = both.groupBy(key, "__stretch").agg(F.min("seen").alias("first")).select(key, "__stretch", F.min("first").over(later).alias("__later"))
+    return found.join(carried, [key, "__stretch"], "left").select(*sends.columns, F.coalesce("__within", "__later").alias("next_at"))
+
+
+def send_lags(t: Tables, days: int = 30, top: int = 20, since: str | None = None) -> DataFrame:
+    """For the `top` largest mailings (by receivers, of sends since a day): receivers, those with a view of the mailing's pack at or
+    within `days` after their send, and percentiles of the hours to the first such view; and all of them together.
+
+    Sends of one mailing at one time are one row with their number."""
+    r = t["receivers"].filter(F.col("sent_at") >= F.lit(since).cast("timestamp_ntz")) if since else t["receivers"]
+    m = _tracked(t["mailings"]).select("mailing_id", "pack_id")
+    largest = r.join(m, "mailing_id").groupBy("mailing_id").agg(F.count("*").alias("receivers")).orderBy(F.desc("receivers"), "mailing_id").limit(top)
+    sends = r.join(m.join(largest, "mailing_id"), "mailing_id").groupBy("pack_id", "mailing_id", F.col("sent_at").cast("timestamp_ntz").alias("at")).agg(F.count("*").alias("n"))
+    views = _tracked(t["page_views"]).join(sends.select("pack_id").distinct(), "pack_id", "left_semi").select("pack_id", F.col("ts").cast("timestamp_ntz").alias("at")).distinct()
+    lag = next_view(sends, views, "pack_id").withColumn("s", F.timestamp_diff("SECOND", "at", "next_at"))
+    hours = F.when(F.col("s") <= days * 86400, F.col("s") / 3600)
+    g = lag.withColumn("h", hours).groupingSets([["mailing_id"], []], "mailing_id")
+    q = [F.round(F.percentile("h", p, F.col("n")), 4).alias(f"p{int(p * 100)}_hours") for p in (0.5, 0.9, 0.99)]
+    return g.agg(F.sum("n").alias("receivers"), F.sum(F.when(F.col("h").isNotNull(), F.col("n")).otherwise(0)).alias("with_view"), *q)
+
+
 def fk_match_rate(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """One row: rows with a key, those that the other side knows, and their share."""
     known = right.select(key).distinct().withColumn("known", F.lit(1))
@@ -221,6 +254,32 @@ def pack_spotlight(t: Tables) -> DataFrame:
     return top.join(who, "pack_id").join(with_untracked(t).select("pack_id", "views"), "pack_id", "left")
 
 
+def pack_end_to_end(t: Tables, as_of: str, days: int = 90) -> DataFrame:
+    """One row for the pack with most recipients of the `days` up to a day: cluster, date of publication, receivers sent to, who
+    opened and clicked, page views, readers, mean time on page, and the full name of the first mailing's creator.
+
+    Receivers are cut to the days, and all else to the pack, before anything is counted."""
+    end = F.lit(as_of).cast("date")
+    m = _tracked(t["mailings"]).select("mailing_id", "pack_id", "created_at", "created_by")
+    r = t["receivers"].filter((F.to_date("sent_at") <= end) & (F.to_date("sent_at") > F.date_sub(end, days))).join(m.select("mailing_id", "pack_id"), "mailing_id")
+    top = r.groupBy("pack_id").agg(F.count_distinct("person_key").alias("recipients")).orderBy(F.desc("recipients"), "pack_id").limit(1)
+    sent = r.filter("log_status <> 'Bounce'").join(top.select("pack_id"), "pack_id", "left_semi").groupBy("pack_id").agg(F.count_distinct("person_key").alias("sent"))
+    mine = m.join(top.select("pack_id"), "pack_id", "left_semi")
+    did = lambda k: F.count_distinct(F.when(F.col("link_type") == k, F.col("person_key")))
+    seen = active_only(t["engagement"]).join(mine.select("mailing_id", "pack_id"), "mailing_id").join(r.select("mailing_id", "receiver_id"), ["mailing_id", "receiver_id"], "left_semi")
+    seen = seen.groupBy("pack_id").agg(did("OPEN").alias("opened"), did("CLICK").alias("clicked"))
+    fact = star.time_on_page(t["page_views"])  # a view's time needs its whole session
+    v = _tracked(fact).join(top.select("pack_id"), "pack_id", "left_semi")
+    micro = F.sum(F.round(F.col("time_on_page_s") * 1_000_000).cast("long"))
+    v = v.groupBy("pack_id").agg(F.count("*").alias("page_views"), F.count_distinct("user_id").alias("readers"), F.round(F.try_divide(micro / 1_000_000, F.count("time_on_page_s")), 4).alias("avg_time_on_page_s"))
+    first = mine.groupBy("pack_id").agg(F.min_by("created_by", F.struct("created_at", "mailing_id")).alias("creator"))
+    first = first.join(t["hr_names"].select(F.col("person_key").alias("creator"), "full_name"), "creator", "left").select("pack_id", F.col("full_name").alias("creator_name"))
+    plan = t["plan_activities"].withColumn("pack_id", F.upper(F.trim("pack_id"))).join(top.select("pack_id"), "pack_id", "left_semi").groupBy("pack_id").agg(F.min("publish_date").alias("publish_date"))
+    out = top.join(plan, "pack_id", "left").join(sent, "pack_id", "left").join(seen, "pack_id", "left").join(v, "pack_id", "left").join(first, "pack_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return out.select("pack_id", F.split_part("pack_id", F.lit("-"), F.lit(1)).alias("cluster_id"), "publish_date", "recipients", *(zero(c) for c in ("sent", "opened", "clicked", "page_views", "readers")), "avg_time_on_page_s", "creator_name")
+
+
 def share_of_total(df: DataFrame, measure: str) -> DataFrame:
     """Adds the percentage of the grand total; the frame should be an aggregate."""
     total = F.sum(measure).over(Window.partitionBy())

@@ -7,11 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid.functions.tracking import CONFORMANT
 from pulsegrid.functions.values import active_only, share
 
 
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
+
+
 def _stack(cols: list[tuple[str, Column]], names: tuple[str, ...]) -> Column:
     return F.explode(F.array(*(F.struct(F.lit(n).alias(names[0]), c.alias(names[1])) for n, c in cols)))
 
@@ -57,6 +61,59 @@ def key_overlap(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> Dat
     return out.select("a", "b", "n_a", "n_b", "shared", sa.alias("share_a"), sb.alias("share_b"), kind.alias("relation"))
 
 
+def _apart_ranges(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]]) -> dict[str, list[str]]:
+    """The columns of each table whose range of values meets that of some other table's column of the same name; a cheap
+    test, as Parquet has the ranges.  Ranges are of values as text, so that types do not matter."""
+    rows = [d.agg(*(f(F.col(c).cast("string")).alias(f"{n}_{i}") for i, c in enumerate(columns[t]) for n, f in (("least", F.min), ("most", F.max)))).first() for t, d in tables.items() if columns[t]]
+    ranges = {(t, c): (r[f"least_{i}"], r[f"most_{i}"]) for (t, _), r in zip([x for x in tables.items() if columns[x[0]]], rows, strict=True) for i, c in enumerate(columns[t])}
+    meet = lambda x, y: None not in (*x, *y) and x[0] <= y[1] and y[0] <= x[1]
+    return {t: [c for c in columns[t] if any(meet(ranges[t, c], ranges[u, c]) for u in tables if u != t and c in columns[u])] for t in tables}
+
+
+def _value_sets(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]], by_name: bool) -> DataFrame:
+    """(column, names, n): how many different values occur in exactly these tables' columns of a name, or, without by_name, in
+    exactly these `table.column`s.  One pass: values are made different inside each task first, and a value then has a row
+    for each table or column at most."""
+    pairs = []
+    for t, d in tables.items():
+        if columns[t]:
+            what = [F.struct(F.lit(c if by_name else "").alias("column"), F.lit(t if by_name else f"{t}.{c}").alias("name"), F.col(c).cast("string").alias("v")) for c in columns[t]]
+            pairs.append(d.select(F.explode(F.array(*what)).alias("p")).select("p.*").filter("v IS NOT NULL").distinct())
+    if not pairs:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "column string, names array<string>, n long")
+    sets = reduce(DataFrame.unionByName, pairs).groupBy("column", "v").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    return sets.groupBy("column", "names").agg(F.count("*").alias("n"))
+
+
+def _pairs_of(names: str, ordered: bool) -> Column:
+    others = lambda a: F.filter(names, lambda b: b > a if ordered else b != a)
+    return F.explode(F.flatten(F.transform(names, lambda a: F.transform(others(a), lambda b: F.struct(a.alias("a"), b.alias("b"))))))
+
+
+def column_overlaps(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every column that two tables share by name, for every pair of tables with a value in common: distinct values of both, common
+    ones, both percentages, and the class of the relation."""
+    names = [c for d in tables.values() for c in d.columns]
+    shared = {t: [c for c in d.columns if names.count(c) > 1 and not isinstance(d.schema[c].dataType, _NESTED)] for t, d in tables.items()}
+    sets = _value_sets(tables, _apart_ranges(tables, shared), by_name=True)
+    size = sets.select("column", F.explode("names").alias("t"), "n").groupBy("column", "t").agg(F.sum("n").alias("size"))
+    both = sets.select("column", _pairs_of("names", ordered=True).alias("p"), "n").groupBy("column", F.col("p.a").alias("table_1"), F.col("p.b").alias("table_2")).agg(F.sum("n").alias("overlap"))
+    out = both.join(size.select("column", F.col("t").alias("table_1"), F.col("size").alias("distinct_1")), ["column", "table_1"]).join(size.select("column", F.col("t").alias("table_2"), F.col("size").alias("distinct_2")), ["column", "table_2"])
+    p1, p2 = (F.round(F.col("overlap") * 100.0 / F.col(f"distinct_{i}"), 1) for i in (1, 2))
+    out = out.withColumns({"pct_1_in_2": p1.cast("double"), "pct_2_in_1": p2.cast("double")})
+    one, two, a, b = F.col("table_1"), F.col("table_2"), F.col("pct_1_in_2"), F.col("pct_2_in_1")
+    kind = F.when((a > 90) & (b < 50), F.concat(one, F.lit(" N:1 "), two)).when((b > 90) & (a < 50), F.concat(two, F.lit(" N:1 "), one)).when((a > 90) & (b > 90), "1:1").otherwise("M:N or partial")
+    return out.select("column", "table_1", "table_2", "distinct_1", "distinct_2", "overlap", "pct_1_in_2", "pct_2_in_1", kind.alias("relationship"))
+
+
+def inclusions(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]]) -> DataFrame:
+    """Inclusion dependencies: pairs of `table.column`s, of any names, where every value of the first occurs in the second."""
+    sets = _value_sets(tables, columns, by_name=False)
+    size = sets.select(F.explode("names").alias("name"), "n").groupBy("name").agg(F.sum("n").alias("n"))
+    both = sets.select(_pairs_of("names", ordered=False).alias("p"), "n").groupBy(F.col("p.a").alias("name"), F.col("p.b").alias("within")).agg(F.sum("n").alias("common"))
+    return both.join(size, "name").filter("common = n").select("name", "within", "n")
+
+
 def pattern_counts(df: DataFrame, regex: str) -> DataFrame:
     """(column, n, matches) of the string columns, in one pass."""
     cols = [c for c, k in df.dtypes if k == "string"]
@@ -100,12 +157,16 @@ def id_conformance(df: DataFrame, col: str = "tracking_id") -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.count_if(c.isNull()).alias("nulls"), F.count_if(F.trim(c) == "").alias("empty"), F.count_if(c.rlike(CONFORMANT)).alias("conformant"), F.count_if(there & ~c.rlike(CONFORMANT)).alias("malformed"), F.count_if(c != F.upper(c)).alias("mixed_case"))
 
 
-def duplicate_keys(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Keys that occur more than once, with their different values.  Only such keys gather values, each once."""
-    many = df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
-    found = df.select(F.col(key).alias("__k"), F.col(value).cast("string").alias("__v")).distinct()
-    g = many.join(found, F.col(key).eqNullSafe(F.col("__k")), "left").groupBy(key, "n")
-    return g.agg(F.array_join(F.array_sort(F.collect_set("__v")), ",").alias("values")).select(key, "n", "values")
+def duplicate_keys(df: DataFrame, key: str, value: str, keep: int = 20) -> DataFrame:
+    """Keys that occur more than once: their rows, how many different values they have, and the least `keep` of these, so that a
+    junk key with most of the rows is one short row.  A null key is a key."""
+    many = df.groupBy(F.col(key).alias("__k")).agg(F.count("*").alias("n")).filter("n > 1")
+    pairs = df.select(F.col(key).alias(key), F.col(value).cast("string").alias("v")).distinct()
+    found = pairs.groupBy(key).agg(F.count("v").alias("n_values"))
+    few = pairs.filter("v IS NOT NULL").withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("v"))).filter(F.col("r") <= keep)
+    few = few.groupBy(F.col(key).alias("__f")).agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("values"))
+    out = found.join(many, F.col(key).eqNullSafe(F.col("__k"))).join(few, F.col(key).eqNullSafe(F.col("__f")), "left")
+    return out.select(key, "n", "n_values", F.coalesce("values", F.lit("")).alias("values"))
 
 
 def match_strategies(ids: DataFrame, id_col: str, hr: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

@@ -41,7 +41,6 @@ for name, tracked, null in (("tracked", True, "NOT NULL"), ("untracked", False,
 SEEN = "count(*) AS views, count(DISTINCT user_id) AS users, count(DISTINCT session_id) AS sessions, min(ts) AS first_seen, max(ts) AS last_seen FROM page_views WHERE contains(lower(url), '/p1')"
 query("cov17_url_summary", lambda t: C.url_summary(t["page_views"], "/P1", exact=True), T, "SELECT " + SEEN)
 query("cov17_url_breakout", lambda t: C.url_breakout(t["page_views"], "/P1", exact=True), T, "SELECT url, " + SEEN + " GROUP BY 1")
-query("cov17_url_breakout_approximate", lambda t: C.url_breakout(t["page_views"], "/P1"), T)
 query("cov18_site_summary", lambda t: C.site_summary(t["page_views"], site_id="S1", start="2024-01-03"), T, f"SELECT site_id, site_name, count(*) AS views, count(DISTINCT user_id) AS users, count(DISTINCT page_id) AS pages, {TID} AS pct_tracked FROM page_views WHERE site_id = 's1' AND ts >= TIMESTAMP '2024-01-03' GROUP BY ALL")
 query("cov19_views_by_tracking", lambda t: C.views_by_tracking(t["page_views"], cluster="clu01", channel="int"), T, "SELECT view_id, ts, tracking_id, split_part(tracking_id, '-', 1) AS cluster, split_part(tracking_id, '-', 2) AS pack, split_part(tracking_id, '-', 3) AS activity_date, split_part(tracking_id, '-', 4) AS activity, split_part(tracking_id, '-', 5) AS channel, split_part(tracking_id, '-', 1) || '-' || split_part(tracking_id, '-', 2) AS pack_id FROM page_views WHERE lower(split_part(tracking_id, '-', 1)) = 'clu01' AND lower(split_part(tracking_id, '-', 5)) = 'int'")
 query("cov20_event_inventory", lambda t: C.event_inventory(t["custom_events"]), T, "SELECT name, count(*) AS n, count(DISTINCT user_id) AS users FROM custom_events GROUP BY 1")

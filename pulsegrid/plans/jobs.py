@@ -32,7 +32,7 @@ def run(spark: SparkSession, source: str, target: str, hr: DataFrame | None = No
     replace those of the same file name.  Pages and dates are only added to, earlier files first.  Sessions are
     rebuilt over all files.  The manifest comes last, so that a run that was cut short is done again as a whole."""
     at = lambda name: f"{target}/{name}"
-    have = sinks.exists(spark, at("processed_files")) and not full_refresh
+    have = sinks.exists(spark, at("processed_files"), recover=True) and not full_refresh
     manifest = spark.read.parquet(at("processed_files")) if have else spark.createDataFrame([], MANIFEST)
     files = exports.classify_input_files(exports.file_hashes(spark, source), manifest)
     todo = {r.file_name: r for r in files.filter("status <> 'unchanged'").collect()}  # names of input files only
@@ -43,7 +43,7 @@ def run(spark: SparkSession, source: str, target: str, hr: DataFrame | None = No
         else:
             sinks.upsert_by_source_file(fact, at("fact_page_view"), tuple(todo))
         for name, new, key in (("dim_page", pages, "page_id"), ("dim_date", dates, "date_key")):
-            old = spark.read.parquet(at(name)) if sinks.exists(spark, at(name)) and not full_refresh else new.limit(0)
+            old = spark.read.parquet(at(name)) if sinks.exists(spark, at(name), recover=True) and not full_refresh else new.limit(0)
             sinks.rebuild(sinks.append_new_keys(old, new, key), at(name))
         stored = spark.read.parquet(at("fact_page_view"))
         counts = stored.groupBy(F.col("source_file").cast("string").alias("file_name")).agg(F.count("*").alias("row_count"))

@@ -52,7 +52,7 @@ MULTI = ACT + ", d AS (SELECT mailing_id, person_key, string_agg(DISTINCT agent,
 query("agg16_multi_device", M.multi_device, ALL, MULTI + " SELECT mailing_id, person_key, agents FROM d WHERE n > 1")
 query("agg16_multi_device_any_mailing", lambda t: M.multi_device(t, per_mailing=False), ALL, ACT + " SELECT person_key, string_agg(DISTINCT agent, ' & ' ORDER BY agent) AS agents FROM a WHERE link_type = 'CLICK' GROUP BY 1 HAVING count(DISTINCT agent) > 1")
 query("prj15_device_labels", M.device_labels, ALL, MULTI + " SELECT CASE WHEN n > 1 THEN 'desktop & mobile' WHEN regexp_matches(lower(agent), 'mobile|iphone|android|ipad') THEN 'mobile Only' ELSE 'desktop Only' END AS device, count(*) AS clicks FROM a JOIN d USING (mailing_id, person_key) WHERE link_type = 'CLICK' GROUP BY 1")
-SPAN = ACT + WHO + ", x AS (SELECT a.*, r.sent_at, CAST(floor(date_diff('second', r.sent_at, a.event_at) / 3600) AS INTEGER) AS hours FROM a JOIN receivers r ON a.mailing_id = r.mailing_id AND a.receiver_id = r.receiver_id), y AS (SELECT x.*, w.region, w.country, w.division, w.area, CAST(event_at AS DATE) AS event_date, CAST(hour(event_at) AS INTEGER) AS event_hour, CASE WHEN hours < 24 THEN '24h' WHEN hours < 72 THEN '72h' WHEN hours < 168 THEN '1w' WHEN hours < 2520 THEN '15w' ELSE '15w+' END AS timespan FROM x LEFT JOIN w ON w.person_key = x.person_key)"
+SPAN = ACT + WHO + ", x AS (SELECT a.*, r.sent_at, CAST(floor(date_diff('second', r.sent_at, a.event_at) / 3600) AS INTEGER) AS hours FROM a JOIN receivers r ON a.mailing_id = r.mailing_id AND a.receiver_id = r.receiver_id), y AS (SELECT x.*, w.region, w.country, w.division, w.area, CAST(event_at AS DATE) AS event_date, CAST(hour(event_at) AS INTEGER) AS event_hour, CASE WHEN hours < 24 THEN '24h' WHEN hours < 72 THEN '72h' WHEN hours < 168 THEN '1w' WHEN hours < 2520 THEN '15w' ELSE '15m+' END AS timespan FROM x LEFT JOIN w ON w.person_key = x.person_key)"
 for dims in (("event_date",), ("event_date", "event_hour"), ("division", "area"), ("region", "country")):
     query(f"agg17_timespan_by_{'_'.join(dims)}", lambda t, dims=dims: M.timespan_rollup(t, *dims), ALL, SPAN + f" SELECT timespan, {', '.join(dims)}, link_type, count(*) AS n, count(DISTINCT receiver_id) AS receivers FROM y GROUP BY ALL")
 for dims in (("region", "country"), ("division",)):
@@ -75,4 +75,4 @@ SELECT mailing_id, created_at, coalesce(n, 0) AS recipients, coalesce(unique_ope
 query("dq11_top_creators", M.top_creators, ALL, WHO + " SELECT person_key, mailings, tracked, region, division FROM (SELECT created_by AS person_key, count(*) AS mailings, count(tracking_id) AS tracked FROM mailings GROUP BY 1) LEFT JOIN w USING (person_key) ORDER BY mailings DESC, person_key LIMIT 10")
 query("dq12_multi_device_share", M.multi_device_share, ALL, MULTI + ", s AS (SELECT mailing_id, count(*) AS receivers FROM receivers GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20) SELECT mailing_id, receivers, count(person_key) AS clickers, count(CASE WHEN n > 1 THEN 1 END) AS multi, round(count(CASE WHEN n > 1 THEN 1 END) / nullif(count(person_key), 0), 4) AS share FROM s LEFT JOIN d USING (mailing_id) GROUP BY ALL")
 query("dq13_dead_links", M.dead_links, ALL, LINKS + " SELECT mailing_id, count(*) AS links, count(CASE WHEN clicks = 0 THEN 1 END) AS dead, round(count(CASE WHEN clicks = 0 THEN 1 END) / count(*), 4) AS share FROM l GROUP BY 1")
-query("dq14_null_region", M.null_region, ALL, "SELECT CAST(year(sent_at) AS INTEGER) AS year, count(*) AS n, count(CASE WHEN region IS NULL THEN 1 END) AS no_region, count(CASE WHEN org_unit IS NULL THEN 1 END) AS no_employee, count(CASE WHEN org_unit IS NOT NULL AND region IS NULL THEN 1 END) AS no_costcenter FROM receivers LEFT JOIN hr_employee USING (person_key) LEFT JOIN hr_costcenter USING (org_unit) GROUP BY 1")
+query("dq14_null_region", M.null_region, ALL, "SELECT CAST(year(sent_at) AS INTEGER) AS year, count(*) AS n, count(CASE WHEN region IS NULL THEN 1 END) AS no_region, count(CASE WHEN person_key IS NULL THEN 1 END) AS no_person, count(CASE WHEN org_unit IS NULL AND person_key IS NOT NULL THEN 1 END) AS no_employee, 0 AS no_org_unit, count(CASE WHEN org_unit IS NOT NULL AND region IS NULL THEN 1 END) AS no_costcenter FROM receivers LEFT JOIN hr_employee USING (person_key) LEFT JOIN hr_costcenter USING (org_unit) GROUP BY 1")

@@ -69,6 +69,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         from events""",
     ),
     "hr_employee": (("customer",), f"select concat('t', {_lp('c_custkey', 6)}) as person_key, {_lp('c_custkey', 8)} as gpn, concat('OU-', c_nationkey) as org_unit from customer"),
+    "hr_names": (("customer",), f"select concat('t', {_lp('c_custkey', 6)}) as person_key, c_name as full_name from customer"),
     "hr_costcenter": (
         ("nation", "region"),
         "select concat('OU-', n_nationkey) as org_unit, r_name as region, n_name as country, concat('D', n_nationkey % 4) as division, concat('A', n_nationkey % 8) as area from nation join region on n_regionkey = r_regionkey where n_nationkey % 6 <> 5",

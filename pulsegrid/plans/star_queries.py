@@ -153,5 +153,5 @@ query("dq06_dedup_profile", lambda t: D.dedup_profile(t["engagement"]), T, ", g
 query("dq06_most_repeated", lambda t: D.most_repeated(t["engagement"]), T, ", g AS (SELECT mailing_id, count(*) - 1 AS more FROM engagement GROUP BY mailing_id, link_type, person_key) SELECT mailing_id, CAST(sum(more) AS BIGINT) AS extra FROM g GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 query("dq07_temporal_coverage", lambda t: D.temporal_coverage({"receivers": (t["receivers"], "sent_at"), "mailings": (t["mailings"], "created_at")}), T, " UNION ALL ".join(f"SELECT '{n}' AS \"table\", CAST(year({c}) AS INTEGER) AS year, count(*) AS n, CAST(min({c}) AS DATE) AS first, CAST(max({c}) AS DATE) AS last FROM {n} GROUP BY 2" for n, c in (("receivers", "sent_at"), ("mailings", "created_at"))))
 query("dq09_id_conformance", lambda t: D.id_conformance(t["page_inventory"]), T, f"SELECT count(*) AS n, count(CASE WHEN tracking_id IS NULL THEN 1 END) AS nulls, count(CASE WHEN trim(tracking_id) = '' THEN 1 END) AS empty, count(CASE WHEN regexp_matches(tracking_id, '{I.CONFORMANT}') THEN 1 END) AS conformant, count(CASE WHEN NOT regexp_matches(tracking_id, '{I.CONFORMANT}') THEN 1 END) AS malformed, count(CASE WHEN tracking_id <> upper(tracking_id) THEN 1 END) AS mixed_case FROM page_inventory")
-query("dq10_duplicate_keys", lambda t: D.duplicate_keys(t["hr_history"], "gpn", "division"), T, "SELECT gpn, count(*) AS n, coalesce(string_agg(DISTINCT division, ',' ORDER BY division), '') AS \"values\" FROM hr_history GROUP BY 1 HAVING count(*) > 1")
+query("dq10_duplicate_keys", lambda t: D.duplicate_keys(t["hr_history"], "gpn", "division"), T, "SELECT gpn, count(*) AS n, count(DISTINCT division) AS n_values, coalesce(string_agg(DISTINCT division, ',' ORDER BY division), '') AS \"values\" FROM hr_history GROUP BY 1 HAVING count(*) > 1")
 query("dq19_match_strategies", lambda t: D.match_strategies(t["page_views"], "gpn", t["hr_employee"], {"gpn": F.col("gpn"), "rewritten": F.regexp_replace("person_key", "^t", "00"), "person_key": F.col("person_key")}), T, ", w AS (SELECT DISTINCT gpn AS v FROM page_views WHERE gpn IS NOT NULL) SELECT 'gpn' AS strategy, count(DISTINCT gpn) AS hits FROM hr_employee WHERE gpn IN (SELECT v FROM w) UNION ALL SELECT 'rewritten', count(DISTINCT regexp_replace(person_key, '^t', '00')) FROM hr_employee WHERE regexp_replace(person_key, '^t', '00') IN (SELECT v FROM w) UNION ALL SELECT 'person_key', count(DISTINCT person_key) FROM hr_employee WHERE person_key IN (SELECT v FROM w)")

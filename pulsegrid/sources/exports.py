@@ -79,8 +79,11 @@ def read_hr_history(spark: SparkSession, path: str) -> DataFrame:
     return df.select("gpn", "snapshot_year", "snapshot_month", *(F.col(c).alias(n) for n, c in have.items()))
 
 
-def load_table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None, where: str | None = None) -> DataFrame:
-    """A Parquet table, pruned to the columns and with the filter at the scan."""
+def load_table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None, where: str | None = None, whole: bool = False) -> DataFrame:
+    """A Parquet table, pruned to the columns and with the filter at the scan.  A filter on time or key is mandatory; only
+    what is small by its kind, such as a dimension, may be asked for as a whole."""
+    if not where and not whole:
+        raise ValueError(f"{name} is read by a filter on time or key; whole=True is for dimensions")
     df = spark.read.parquet(f"{folder}/{name}")
     df = df.filter(where) if where else df
     return df.select(*columns) if columns else df

@@ -8,6 +8,7 @@ that was cut short is undone when the table is next looked for or replaced, so t
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,34 +19,62 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """A rename that did not happen is an error."""
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[1]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def _recover(spark: SparkSession, path: str) -> None:
-    """Brings back the table of a swap that was cut short, or clears up after one that was not."""
+    """Brings back the table of a swap that was cut short, or clears up after one that was not.  For the table's writer, of
+    which there is one at a time: during a swap a reader must leave both folders alone."""
     fs, target = _fs(spark, path)
     before = _fs(spark, f"{path}.before")[1]
     if fs.exists(before):
         if fs.exists(target):
             fs.delete(before, True)
         else:
-            fs.rename(before, target)
+            _rename(spark, f"{path}.before", path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    _recover(spark, path)
+def exists(spark: SparkSession, path: str, recover: bool = False) -> bool:
+    """Whether there is a table.  Only the table's writer may recover a swap that was cut short; a reader finds the old
+    table under `<table>.before` meanwhile (see current)."""
+    if recover:
+        _recover(spark, path)
     fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
-def rebuild(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replaces a table: writes beside it, sets the old one aside, moves the new one in, and drops the old one."""
-    spark, stage = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(stage)
+def current(spark: SparkSession, path: str) -> str:
+    """Where a reader finds the table: in its place, or set aside while a swap lasts."""
+    return path if exists(spark, path) or not exists(spark, f"{path}.before") else f"{path}.before"
+
+
+def rebuild_with(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replaces a table: `write` fills a folder beside it, the old one is set aside, the new one moved in, and the old one dropped.
+    If the new one cannot be moved in, the old one comes back."""
+    stage = f"{path}.{uuid.uuid4().hex}"
+    write(stage)
     _recover(spark, path)
     fs, target = _fs(spark, path)
-    before = _fs(spark, f"{path}.before")[1]
     if fs.exists(target):
-        fs.rename(target, before)
-    fs.rename(_fs(spark, stage)[1], target)
-    fs.delete(before, True)
+        _rename(spark, path, f"{path}.before")
+    try:
+        if fs.exists(target):  # a rename would move the new folder into it
+            raise OSError(f"another writer has made {path} meanwhile")
+        _rename(spark, stage, path)
+    except Exception:
+        if not fs.exists(target):
+            _recover(spark, path)
+        raise
+    fs.delete(_fs(spark, f"{path}.before")[1], True)
+
+
+def rebuild(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Replaces a table by a DataFrame, which may read it."""
+    rebuild_with(df.sparkSession, path, lambda stage: df.write.partitionBy(*partition_by).parquet(stage))
 
 
 def upsert_by_source_file(fact: DataFrame, path: str, files: tuple[str, ...] = ()) -> None:

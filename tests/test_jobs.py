@@ -4,6 +4,7 @@ import csv
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import flatten, star
@@ -131,6 +132,9 @@ def test_exports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 6
     sinks.snapshot_replace(df.limit(1), str(tmp_path / "s"))
     assert exports.load_table(spark, str(tmp_path), "s", ["column"], "column = 'a'").count() == 1
+    assert exports.load_table(spark, str(tmp_path), "s", whole=True).count() == 1
+    with pytest.raises(ValueError):
+        exports.load_table(spark, str(tmp_path), "s")
     sinks.export_dashboard({"packs": df}, str(tmp_path / "d"))
     assert spark.read.json(str(tmp_path / "d/packs")).count() == 3
 

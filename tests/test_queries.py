@@ -9,6 +9,8 @@ import oracle
 import pytest
 from conftest import DATA
 
+from pulsegrid.operators import coverage
+from pulsegrid.plans import model
 from pulsegrid.plans.queries import ORACLE, QUERIES
 
 
@@ -27,7 +29,8 @@ def test_query(spark, con, name):
 
 
 def test_exact_twin_of_approximate(spark):
-    exact = {r.url: r for r in QUERIES["cov17_url_breakout"](spark, DATA).collect()}
-    for r in QUERIES["cov17_url_breakout_approximate"](spark, DATA).collect():
+    views = model.table(spark, DATA, "page_views")
+    exact = {r.url: r for r in coverage.url_breakout(views, "/P1", exact=True).collect()}
+    for r in coverage.url_breakout(views, "/P1").collect():
         assert r.views == exact[r.url].views
         assert abs(r.users - exact[r.url].users) <= max(2, 0.1 * exact[r.url].users)
