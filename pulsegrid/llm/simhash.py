@@ -232,18 +232,30 @@ def linked_classes(fps: DataFrame, found: DataFrame, *, key: str = "doc_id") ->
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, the one with the least key, with its columns.  Documents with a null
-    key link to no other; of those that are alike in all columns one stays."""
-    named = docs.filter(F.col(key).isNotNull())
-    found = classes(written(fingerprints(named, key=key, text=text, k=k)), key=key, distance=distance)
-    return one_of_each(docs, found, key)
-
-
-def one_of_each(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """The documents whose key is their component_id in `found`, once each, and those with a null key."""
-    named = docs.filter(F.col(key).isNotNull())
-    keep = found.filter(F.col(key) == F.col("component_id")).select(key)
-    return named.join(keep, key, "left_semi").dropDuplicates([key]).unionByName(docs.filter(F.col(key).isNull()).distinct())
+    """One document of each component, the one with the least key, with its columns; cases as in one_of_each."""
+    rows = identified(docs, key)
+    found = classes(written(fingerprints(rows.filter(F.col(key).isNotNull()), key=ROW, text=text, k=k)), key=ROW, distance=distance)
+    return one_of_each(rows, found, key)
+
+
+ROW = "__row"
+
+
+def identified(docs: DataFrame, key: str) -> DataFrame:
+    """docs plus __row: the key and a hash of the whole row, which rows have in common only if they are alike in all columns.
+    It is the same whenever it is computed, and orders rows by key."""
+    hashed = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t or "variant" in t else F.col(f"`{c}`") for c, t in docs.dtypes]
+    return docs.withColumn(ROW, F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(*hashed).alias("hash")))
+
+
+def one_of_each(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Of rows (as from `identified`), those whose __row is their component_id in `found`, and those with a null key; columns
+    as they were.  Rows are linked, not keys: rows with one key and different texts are each in a class of their own text.  A
+    class keeps the row with the least key, of several with that key the one with the least hash.  Rows alike in all
+    columns are one; a null key links to no other."""
+    keep = found.filter(F.col(ROW) == F.col("component_id")).select(ROW).distinct()
+    named = rows.filter(F.col(key).isNotNull()).join(keep, ROW, "left_semi").dropDuplicates([ROW])
+    return named.unionByName(rows.filter(F.col(key).isNull()).dropDuplicates([ROW])).drop(ROW)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import corpus_pipeline
-from pulsegrid.llm import jaccard
+from pulsegrid.llm import jaccard, simhash
 
 
 def brute(rows, least=0.8):
@@ -52,3 +52,25 @@ def test_similarity_of_four_fifths(spark, monkeypatch, crowd):
     got = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
     assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(brute(rows)) and len(got) == len(brute(rows)) + 1
     assert jaccard.keep_one(df.limit(0)).count() == 0
+
+
+def test_rows_of_one_key_are_documents_of_their_own(spark):
+    texts = ["one text about ships and their harbours in the north", "another text about the growing of apples", "a third one on clocks and on the people who mend them"]
+    rows = [(1, texts[0], "a"), (1, texts[1], "b"), (2, texts[2], "c"), (2, texts[2], "c"), (3, texts[0].upper(), "d"), (3, texts[0], "e"), (None, texts[0], "f"), (None, texts[0], "f"), (None, None, "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, hash string").withColumnsRenamed({"hash": "fp"})
+    for keep in (jaccard.keep_one, simhash.keep_one):
+        got = keep(df)
+        assert got.columns == df.columns
+        assert sorted((r.doc_id or 0, r.fp) for r in got.collect()) == [(0, "f"), (0, "g"), (1, "a"), (1, "b"), (2, "c")]
+        again = keep(df.orderBy("fp", ascending=False).repartition(3)).collect()
+        assert sorted((r.doc_id or 0, r.fp) for r in again) == [(0, "f"), (0, "g"), (1, "a"), (1, "b"), (2, "c")]
+
+
+@pytest.mark.parametrize("unit", [1, 20])
+def test_large_sets_are_cut_into_blocks(spark, monkeypatch, unit):
+    monkeypatch.setattr(jaccard, "UNIT", unit)
+    monkeypatch.setattr(jaccard, "CROWD", 60)
+    base = [f"b{i}" for i in range(200)]
+    rows = list(enumerate([" ".join([*base[:i], f"z{i}", *base[i + 1 :]]) for i in range(0, 200, 5)] + ["something else altogether"]))
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == sorted(brute(rows))
