@@ -1,9 +1,12 @@
 """Mixing sources to target weights by weighted fair queueing, in SQL functions only.
 
 Every source is a queue of its documents in shuffled order, repeated up to `repeats` times.
-A copy's virtual finish time is the number of its source's words up to and with it, divided by
-the source's target.  The copies are globally range-sorted by finish time and truncated where their sum
-would pass the total budget: the mix is the longest beginning of that order within the budget.
+A copy's virtual finish time is the number of its source's words up to it, divided by the source's target, where of the copy
+itself half the words count: so a source's copy comes before time t just if taking it brings the source nearer to t times its
+target.  (With all its words counted, every source would lose the copy that crosses the end, however long, and sources
+of short documents would take the rest.)  The copies are globally range-sorted by finish time and truncated where their sum
+would pass the total budget: the mix is the longest beginning of that order within the budget.  It ends near time 1, and a
+source is then within half its crossing copy of its target, but for the target times the distance of the end from 1.
 
 Targets share the budget by weight, none above `repeats` times its source's size; the excess goes
 to the others by weight.  They come from one pass over the sources in order of size / weight.
@@ -88,7 +91,7 @@ def _queued(docs: DataFrame, size: Column, key: str, source: str, weights: DataF
     inside = Window.partitionBy("source", "bucket").orderBy("h", "k", "size", *carry).rowsBetween(Window.unboundedPreceding, 0)
     run = rows.withColumn("run", F.sum("size").over(inside))
     run = run.join(base, F.col("source").eqNullSafe(F.col("bs")) & (F.col("bucket") == F.col("bb")))
-    times = F.expr(f"transform(sequence(0, {repeats - 1}), p -> (p * source_size + base + run) / target)")
+    times = F.expr(f"transform(sequence(0, {repeats - 1}), p -> (p * source_size + base + run - size / 2) / target)")
     run = run.withColumn("finish", F.when((F.col("target") > 0) & (F.col("size") > 0), times).otherwise(F.array().cast("array<double>")))
     return written(run.select("k", "source", "size", "source_size", "target", "finish", *carry))
 
@@ -160,10 +163,10 @@ f AS (SELECT rest, w_rest FROM a WHERE cap * w_rest > rest * weight ORDER BY cap
 t AS (SELECT source, source_size, CASE WHEN cap * w_rest <= rest * weight THEN CAST(cap AS DOUBLE) ELSE CAST(weight * (SELECT rest FROM f) AS DOUBLE) / CAST((SELECT w_rest FROM f) AS DOUBLE) END AS target FROM a),
 r AS (SELECT d.doc_id, t.source, d.size, t.source_size, t.target, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS run
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT source, size, CAST(p * source_size + run AS DOUBLE) / target AS finish FROM r, (SELECT unnest([0, 1, 2]) AS p) WHERE target > 0 AND size > 0),
+c AS (SELECT source, size, (CAST(p * source_size + run AS DOUBLE) - CAST(size AS DOUBLE) / 2) / target AS finish FROM r, (SELECT unnest([0, 1, 2]) AS p) WHERE target > 0 AND size > 0),
 q AS (SELECT source, finish, row_number() OVER o AS place, sum(size) OVER o AS used FROM c WINDOW o AS (ORDER BY finish, source ASC NULLS LAST ROWS UNBOUNDED PRECEDING)),
 v AS (SELECT finish AS cut, source AS cut_source FROM q WHERE used <= (SELECT sum(size) FROM d) ORDER BY place DESC LIMIT 1)
 SELECT doc_id, size, source_size, target,
-       CAST(size * CASE WHEN target > 0 AND size > 0 AND cut IS NOT NULL THEN len(list_filter([0, 1, 2], lambda p: CAST(p * source_size + run AS DOUBLE) / target < cut OR (CAST(p * source_size + run AS DOUBLE) / target = cut AND coalesce(source <= cut_source, cut_source IS NULL)))) ELSE 0 END AS BIGINT) AS taken
+       CAST(size * CASE WHEN target > 0 AND size > 0 AND cut IS NOT NULL THEN len(list_filter([0, 1, 2], lambda p: (CAST(p * source_size + run AS DOUBLE) - CAST(size AS DOUBLE) / 2) / target < cut OR ((CAST(p * source_size + run AS DOUBLE) - CAST(size AS DOUBLE) / 2) / target = cut AND coalesce(source <= cut_source, cut_source IS NULL)))) ELSE 0 END AS BIGINT) AS taken
 FROM r LEFT JOIN v ON true
 """
