@@ -51,6 +51,27 @@ def running_max(values: Column) -> Column:
     return running(values, F.lit(-1).cast("long"), lambda a, x: F.greatest(a, x))
 
 
+CUT = 4096
+
+
+def cut_out(text: Column, spans: Column) -> Column:
+    """The stretches (start, end, in characters) of a text, as an array.  They are cut out of blocks of CUT characters, as
+    Spark reads a text from its start to find a place in it."""
+
+    def of(x: Column) -> Column:
+        block = lambda k: F.coalesce(F.get(x["blocks"], k), F.lit(""))
+
+        def piece(s: Column) -> Column:
+            i, j = F.floor(s["start"] / CUT).cast("int"), F.floor(s["end"] / CUT).cast("int")
+            begin, end = (s["start"] - i * CUT).cast("int"), (s["end"] - j * CUT).cast("int")
+            whole = F.array_join(F.slice(x["blocks"], i + 2, F.greatest(j - i - 1, F.lit(0))), "")
+            return F.when(i == j, F.substring(block(i), begin + 1, end - begin)).otherwise(F.concat(F.substring(block(i), begin + 1, F.lit(CUT)), whole, F.substring(block(j), F.lit(1), end)))
+
+        return F.transform(x["spans"], piece)
+
+    return let(F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)).alias("blocks"), spans.alias("spans")), of)
+
+
 def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
     """df with those columns that have one of the names (in any case) renamed, and how to rename them back."""
     taken, used, back = {n.lower() for n in names}, {c.lower() for c in df.columns}, {}
