@@ -23,8 +23,11 @@ MAIL = T + " receivers engagement hr_employee hr_costcenter hr_user event_master
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the cluster's shared folder; only where none is set, as in tests, in a local one."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/io/{uuid.uuid4().hex}"
+    """A new path in the cluster's shared folder; only where none is set, as in tests, in a local one, which a cluster could not share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='spark-')}/io/{uuid.uuid4().hex}"
 
 
 def _spark(t: Tables) -> SparkSession:
