@@ -107,15 +107,34 @@ def read_loss(formatted: Column, spans: Column) -> Column:
 PROBE = r"\### Assistant: </turn> ok"
 
 
+#: The kinds of the attachment that op9_chat adds to each message of its second formatting, by turn.
+KINDS = ("image", "audio", "document")
+
+
+def attached_part(kind: Column, ref: Column, units: Column) -> Column:
+    """A message's part that is no text."""
+    return F.array(F.struct(kind.alias("type"), F.lit(None).cast("string").alias("text"), ref.alias("ref"), units.alias("units"))).cast(PARTS)
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's columns; and, of the same conversations with an attachment after each text, as large as the text is long:
+    placeholders read back from what was formatted, the attachments' tokens, and a digest of the attachments."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    done = format_chats(rows.unionByName(probe).withColumn("parts", text_part(F.col("text"))))
+    rows = rows.unionByName(probe)
+    done = format_chats(rows.withColumn("parts", text_part(F.col("text"))))
     loss, turns = read_loss(F.col("formatted"), F.col("loss_spans")), read_turns(F.col("formatted"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return done.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars")).select(
+    plain = done.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars")).select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"
     )
+    turn = F.coalesce(F.col("turn"), F.lit(0)).cast("long")
+    extra = attached_part(F.get(F.array(*map(F.lit, KINDS)), F.pmod(turn, F.lit(len(KINDS))).cast("int")), F.concat(F.lit("turn"), turn.cast("string")), F.length(F.coalesce("text", F.lit(""))).cast("double") / 100)
+    typed = format_chats(rows.withColumn("parts", F.concat(text_part(F.col("text")), extra)))
+    told = F.array_join(F.transform("attachments", lambda x: F.concat_ws(":", x["type"], x["number"].cast("string"), x["ref"], x["tokens"].cast("string"))), ",")
+    marks = F.regexp_count("formatted", F.lit(r"<\|(image|audio|document):[0-9]+\|>")).cast("long")
+    typed = typed.select(F.col("conv_id").alias("c"), marks.alias("n_placeholders"), F.col("n_tokens_attached").alias("attached_tokens"), F.sha2(told, 256).alias("attachments_sha256"))
+    return plain.join(typed, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
 
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), '##', '#\#'), '</turn>', '<\/turn>'), '<|', '<\|')"
@@ -123,11 +142,15 @@ OP9_SQL = f"""
 WITH m AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '{PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{PROBE}'),
-e AS (SELECT *, {_ESCAPED.format("text")} AS content, replace({_ESCAPED.format("role")}, ':' || chr(10), ':' || chr(92) || chr(10)) AS head FROM m)
+e AS (SELECT *, {_ESCAPED.format("text")} AS content, replace({_ESCAPED.format("role")}, ':' || chr(10), ':' || chr(92) || chr(10)) AS head,
+  CASE coalesce(turn, 0) % 3 WHEN 0 THEN 'image' WHEN 1 THEN 'audio' ELSE 'document' END AS kind,
+  CAST(ceil(CAST(length(text) AS DOUBLE) / 100 * CASE coalesce(turn, 0) % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 25.0 ELSE 800.0 END) AS BIGINT) AS tokens FROM m)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, content)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, content) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(4 + length(head) + 2 + length(content) + 8) AS BIGINT) AS formatted_chars
+       CAST(sum(4 + length(head) + 2 + length(content) + 8) AS BIGINT) AS formatted_chars,
+       count(*) AS n_placeholders, CAST(sum(tokens) AS BIGINT) AS attached_tokens,
+       sha256(string_agg(kind || ':1:turn' || CAST(coalesce(turn, 0) AS VARCHAR) || ':' || CAST(tokens AS VARCHAR), ',' ORDER BY turn NULLS FIRST, role, content || '<|' || kind || ':1|>')) AS attachments_sha256
 FROM e GROUP BY conv_id
 """
