@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.operators import coverage as C
+from pulsegrid.operators import flatten as L
 from pulsegrid.operators import mail as M
 from pulsegrid.operators import measures as S
 from pulsegrid.operators import packs as K
@@ -13,6 +14,7 @@ from pulsegrid.operators import variants as X
 from pulsegrid.plans.io_queries import scratch
 from pulsegrid.plans.mail_queries import ACT, P, SPAN
 from pulsegrid.plans.model import Tables
+from pulsegrid.plans.raw import raw_custom_events
 from pulsegrid.plans.registry import query
 from pulsegrid.plans.star_queries import TOP
 from pulsegrid.sources.layout import Clustered
@@ -112,6 +114,17 @@ def close_rolling(t: Tables) -> DataFrame:
 query("win04_rolling_sketches", close_rolling, ALL, "SELECT DISTINCT site_id, content_type, CAST(ts AS DATE) AS day, " + ", ".join(f"true AS close_{s}d" for s in S.SPANS) + " FROM page_views")
 
 
+def close_keys(t: Tables) -> DataFrame:
+    """Keys of event properties with rows and distinct values from stored daily sketches, next to the exact inventory."""
+    e = raw_custom_events(t).select("timestamp", F.explode(L.parse_custom_dimensions("customDimensions")).alias("key", "value"))
+    est = H.united(H.daily(e, ["key"], "timestamp", values="value"), ["key"], ["values"])
+    x = e.groupBy("key").agg(F.count_distinct("value").alias("x"))
+    return x.join(est, "key").select("key", F.col("rows").alias("n"), H.close("values", "x").alias("values_close"))
+
+
+query("cov21_key_inventory_sketches", close_keys, ALL, " UNION ALL ".join(f"SELECT '{k}' AS key, count({c}) AS n, true AS values_close FROM custom_events" for k, c in (("cp_GPN", "gpn"), ("cp_Email", "email"), ("cp_PageId", "page_id"), ("cp_Link_Type", "link_type"), ("cp_ComponentName", "component"), ("env", "'prod'"))))
+
+
 def nested_events(t: Tables) -> DataFrame:
     """Search events with properties on four levels, encoded as a string inside the cell."""
     c = F.col

@@ -37,8 +37,8 @@ def _spark(t: Tables) -> SparkSession:
 def exported(t: Tables) -> DataFrame:
     path = scratch(_spark(t))
     raw_page_views(t).drop("source_file").write.options(header=True, escape='"').csv(path)
-    files = [r.path for r in exports.file_hashes(_spark(t), path).select("path").collect()]
-    return exports.read_page_view_export(_spark(t), *files).select("id", "url", "session_Id", F.col("duration").cast("double").alias("duration"), "customDimensions").select("id", "url", "session_Id", "duration", F.col("customDimensions").contains("CustomProps").alias("has_props"))
+    files = {r.path: r.splittable for r in exports.file_hashes(_spark(t), path).collect()}
+    return exports.read_page_view_export(_spark(t), *files, splittable={p for p, yes in files.items() if yes}).select("id", "url", "session_Id", F.col("duration").cast("double").alias("duration"), "customDimensions").select("id", "url", "session_Id", "duration", F.col("customDimensions").contains("CustomProps").alias("has_props"))
 
 
 def hr_read(t: Tables) -> DataFrame:

@@ -37,7 +37,7 @@ def run(spark: SparkSession, source: str, target: str, hr: DataFrame | None = No
     files = exports.classify_input_files(exports.file_hashes(spark, source), manifest)
     todo = {r.file_name: r for r in files.filter("status <> 'unchanged'").collect()}  # names of input files only
     if todo:
-        fact, pages, dates = build(exports.read_page_view_export(spark, *(todo[name].path for name in sorted(todo))), hr)
+        fact, pages, dates = build(exports.read_page_view_export(spark, *(todo[name].path for name in sorted(todo)), splittable={r.path for r in todo.values() if r.splittable}), hr)
         if full_refresh:
             sinks.rebuild(fact, at("fact_page_view"), ("source_file",))
         else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,19 +29,24 @@ def _header(spark: SparkSession, path: str) -> str:
         opened.close()
 
 
-def read_page_view_export(spark: SparkSession, *paths: str) -> DataFrame:
+def read_page_view_export(spark: SparkSession, *paths: str, splittable: Collection[str] = ()) -> DataFrame:
     """CSV exports (files) as strings, with source_file and source_time, the time of the file.  Columns may differ from file to
-    file: files with the same first line are read together, one reader for each kind of header."""
-    kinds: dict[str, list[str]] = {}
+    file: files with the same first line are read together, one reader for each kind of header.
+
+    splittable: those of the files without a line break inside a cell, as file_hashes finds them.  Many tasks read such a file;
+    one with line breaks inside cells is read by one task, as a reader that begins within it could not tell them from ends of
+    rows."""
+    kinds: dict[tuple[str, bool], list[str]] = {}
     for p in paths:
-        kinds.setdefault(_header(spark, p), []).append(p)
+        kinds.setdefault((_header(spark, p), p in splittable), []).append(p)
     named = {"source_file": F.col("_metadata.file_name"), "source_time": F.col("_metadata.file_modification_time")}
-    read = [spark.read.options(header=True, multiLine=True, escape='"').csv(same).withColumns(named) for same in kinds.values()]
+    read = [spark.read.options(header=True, multiLine=not split, escape='"').csv(same).withColumns(named) for (_, split), same in kinds.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
 
 
 def file_hashes(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(file_name, path, sha256) of the files of a folder, or of one file.
+    """(file_name, path, sha256, splittable) of the files of a folder, or of one file.  A file is splittable if each of its lines has
+    an even number of quotes, so that no cell runs over the end of a line.
 
     One way at every size: tasks read lines (split at line feeds only) and hash each; a split of a file gives the sums of its
     hashes and of hash times line number, so that exchanged lines differ; splits are shifted to their place by the numbers of
@@ -52,16 +58,16 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFram
     digest = F.sha2(F.col("value").cast("binary"), 256)
     halves = [F.conv(F.substring(digest, 1 + 10 * i, 10), 16, 10).cast("decimal(38,0)") for i in (0, 1)]
     place = F.monotonically_increasing_id()  # lines of a split are consecutive
-    each = lines.select(*named, F.col("_metadata.file_block_start").alias("start"), place.alias("place"), *(h.alias(f"h{i}") for i, h in enumerate(halves)))
+    each = lines.select(*named, F.col("_metadata.file_block_start").alias("start"), place.alias("place"), (F.regexp_count("value", F.lit('"')) % 2 == 1).alias("odd"), *(h.alias(f"h{i}") for i, h in enumerate(halves)))
     sums = [a for i in (0, 1) for a in (F.sum(f"h{i}").alias(f"s{i}"), F.sum(F.col(f"h{i}") * (F.col("place") % (1 << 33)).cast("decimal(11,0)")).alias(f"p{i}"))]
-    splits = each.groupBy("file", "start").agg(F.count("*").alias("n"), (F.min("place") % (1 << 33)).cast("decimal(38,0)").alias("first"), *sums)
+    splits = each.groupBy("file", "start").agg(F.count("*").alias("n"), F.count_if("odd").alias("odd"), (F.min("place") % (1 << 33)).cast("decimal(38,0)").alias("first"), *sums)
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a split
     splits = splits.withColumn("shift", (before - F.col("first")).cast("decimal(38,0)"))
     moved = lambda i: F.sum((F.col(f"p{i}") + F.col("shift") * F.col(f"s{i}")).cast("decimal(38,0)"))
-    whole = splits.groupBy("file").agg(F.sum("n").alias("lines"), *(F.sum(f"s{i}").alias(f"s{i}") for i in (0, 1)), *(moved(i).alias(f"p{i}") for i in (0, 1)))
+    whole = splits.groupBy("file").agg(F.sum("n").alias("lines"), F.sum("odd").alias("odd"), *(F.sum(f"s{i}").alias(f"s{i}") for i in (0, 1)), *(moved(i).alias(f"p{i}") for i in (0, 1)))
     parts = ["length", "lines", "s0", "s1", "p0", "p1"]
     sha = F.sha2(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in parts)), 256)
-    return files.join(whole, "file", "left").select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", sha.alias("sha256"))
+    return files.join(whole, "file", "left").select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", sha.alias("sha256"), (F.coalesce("odd", F.lit(0)) == 0).alias("splittable"))
 
 
 def classify_input_files(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -149,3 +149,20 @@ def test_job_keeps_tracking_ids_of_prefixed_names(spark, tmp_path):
             w.writerow([f"2024-01-01 10:00:0{i}", f"v{i}", "pageView", "u", "s", "u1", json.dumps({"CustomProps": json.dumps({"PageId": "p", **props})}), "1"])
     fact = jobs.run(spark, str(source), str(tmp_path / "out"))["fact_page_view"]
     assert {r.view_id: r.pack_id for r in fact.collect()} == {"v0": "CLU01-0000007", "v1": "CLU02-0000008"}
+
+
+def test_files_without_line_breaks_in_cells_are_split(spark, tmp_path):
+    body = "".join(f'v{i},"a ""quoted"" cell, {i}"\n' for i in range(3000))
+    (tmp_path / "split.csv").write_text("id,text\n" + body)
+    (tmp_path / "whole.csv").write_text("id,text\n" + body + 'w,"two\nlines"\n')
+    files = {r.path: r.splittable for r in exports.file_hashes(spark, str(tmp_path)).collect()}
+    assert {p.rsplit("/", 1)[1]: yes for p, yes in files.items()} == {"split.csv": True, "whole.csv": False}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        df = exports.read_page_view_export(spark, *files, splittable={p for p, yes in files.items() if yes})
+        got = df.withColumn("task", F.spark_partition_id()).groupBy("source_file").agg(F.count("*").alias("n"), F.count_distinct("id", "text").alias("d"), F.count_distinct("task").alias("tasks")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r.source_file: r for r in got}
+    assert (got["split.csv"].n, got["split.csv"].d, got["whole.csv"].n, got["whole.csv"].d, got["whole.csv"].tasks) == (3000, 3000, 3001, 3001, 1) and got["split.csv"].tasks > 3
