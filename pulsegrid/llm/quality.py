@@ -10,7 +10,7 @@ broadcast, which that parameter bounds.  Every text is scored whole.  The model
 
 Cases: a null or empty text gets the score of the intercept; labels that are null, or whose
 document is missing, are not used; several labels of one document count by their mean; without
-any label every score is 0.5; repeated rows are each scored; other columns are ignored.
+any label every score is 0.5; a document with a null key is scored and never learnt from; repeated rows are each scored; other columns are ignored.
 """
 
 from __future__ import annotations

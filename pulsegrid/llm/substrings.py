@@ -24,7 +24,7 @@ copy repeats as a whole.  Words are ordered and compared by 48 bits of their has
 texts by 64.
 
 Cases: a null or short text has nothing removed; windows inside one text count like any other; repeated
-rows are each returned; other columns are ignored; an empty table gives an empty result.
+rows are each returned; a null key is a key; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
