@@ -112,6 +112,6 @@ def pipeline_summary(fact: DataFrame, sessions: DataFrame) -> DataFrame:
     """One row: views, measured views, median (exact, by rounds of counts), 90th percentile and mean time on page, sessions,
     bounces, mean views a session."""
     median, p90 = exact_percentiles(fact, "time_on_page_s", [0.5, 0.9])
-    f = fact.agg(F.count("*").alias("n_views"), F.count("time_on_page_s").alias("n_measured"), F.lit(median).cast("double").alias("median_top"), F.lit(p90).cast("double").alias("p90_top"), F.round(F.avg("time_on_page_s"), 4).alias("mean_top"))
+    f = fact.agg(F.count("*").alias("n_views"), F.count("time_on_page_s").alias("n_measured"), F.lit(median).cast("double").alias("median_top"), F.round(F.lit(p90).cast("double"), 6).alias("p90_top"), F.round(F.avg("time_on_page_s"), 4).alias("mean_top"))
     s = sessions.agg(F.count("*").alias("n_sessions"), F.count_if("is_bounce").alias("n_bounces"), F.round(F.avg("n_views"), 4).alias("mean_pages"))
     return f.join(s, F.lit(True))

@@ -93,7 +93,7 @@ query("agg02_dim_page", lambda t: R.dim_page(t["page_views"]), T, "SELECT page_i
 query("agg03_dim_date", lambda t: R.dim_date(t["page_views"]), T, "SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST(week(d) AS INTEGER) AS iso_week, CAST(isodow(d) AS INTEGER) AS weekday, dayname(d) AS weekday_name FROM (SELECT DISTINCT CAST(ts AS DATE) AS d FROM page_views)")
 query("agg04_fact_page_view", fact, T, ASOF + " SELECT * FROM w")
 query("joi27_star_join", lambda t: R.star_join(fact(t), R.dim_page(t["page_views"]), R.dim_date(t["page_views"])).groupBy("site_name", "month_name", "weekday").agg(F.count("*").alias("views")), T, "SELECT site_name, monthname(ts) AS month_name, CAST(isodow(ts) AS INTEGER) AS weekday, count(*) AS views FROM page_views GROUP BY ALL")
-query("cov22_pipeline_summary", lambda t: R.pipeline_summary(fact(t).select("*"), sessions(t)).drop("mean_top"), T, SESSION + " SELECT (SELECT count(*) FROM f) AS n_views, (SELECT count(time_on_page_s) FROM f) AS n_measured, (SELECT median(time_on_page_s) FROM f) AS median_top, (SELECT quantile_cont(time_on_page_s, 0.9) FROM f) AS p90_top, count(*) AS n_sessions, count(CASE WHEN is_bounce THEN 1 END) AS n_bounces, round(avg(n_views), 4) AS mean_pages FROM s")
+query("cov22_pipeline_summary", lambda t: R.pipeline_summary(fact(t).select("*"), sessions(t)).drop("mean_top"), T, SESSION + " SELECT (SELECT count(*) FROM f) AS n_views, (SELECT count(time_on_page_s) FROM f) AS n_measured, (SELECT median(time_on_page_s) FROM f) AS median_top, (SELECT round(quantile_cont(time_on_page_s, 0.9), 6) FROM f) AS p90_top, count(*) AS n_sessions, count(CASE WHEN is_bounce THEN 1 END) AS n_bounces, round(avg(n_views), 4) AS mean_pages FROM s")
 query("dq17_hr_match_stats", lambda t: R.hr_match_stats(t["page_views"], t["hr_history"]), T, "SELECT count(*) AS n_views, count(CASE WHEN CAST(gpn AS INTEGER) <> 0 THEN 1 END) AS n_with_gpn, count(DISTINCT CASE WHEN CAST(gpn AS INTEGER) <> 0 THEN gpn END) AS n_persons, count(DISTINCT CASE WHEN CAST(gpn AS INTEGER) <> 0 AND gpn IN (SELECT gpn FROM hr_history) THEN gpn END) AS n_matched FROM page_views")
 query("win06_first_last", lambda t: R.first_last(t["page_views"].filter("session_id IS NOT NULL"), "session_id", "tracking_id", "ts", "view_id"), T, "SELECT session_id, first(tracking_id ORDER BY ts, view_id) FILTER (WHERE tracking_id IS NOT NULL) AS first_tracking_id, last(tracking_id ORDER BY ts, view_id) FILTER (WHERE tracking_id IS NOT NULL) AS last_tracking_id FROM page_views WHERE session_id IS NOT NULL GROUP BY 1")
 query("win07_latest_per_key", lambda t: R.latest_per_key(t["hr_history"], "gpn", F.desc("snapshot_year"), F.desc("snapshot_month")), T, "SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY gpn ORDER BY snapshot_year DESC, snapshot_month DESC) AS r FROM hr_history) WHERE r = 1")
