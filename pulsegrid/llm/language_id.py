@@ -10,7 +10,7 @@ numbers, at most about MODEL of them: the more languages, the fewer places the n
 
 Cases: a null text, an empty one or one without a letter is `und` with score 0; rows with a
 null language or a null key train nothing; without any training row all is `und`; repeated
-rows are each scored; other columns of the input are ignored.
+rows are each scored; of languages with equal probabilities the first by name is taken; other columns of the input are ignored.
 """
 
 from __future__ import annotations
