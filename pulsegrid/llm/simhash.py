@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.arrays import set_aside
 from pulsegrid.llm.components import components
 from pulsegrid.llm.session import written
 from pulsegrid.llm.textops import encoded, small_batches
@@ -233,9 +234,11 @@ def linked_classes(fps: DataFrame, found: DataFrame, *, key: str = "doc_id") ->
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 5, distance: int = DISTANCE) -> DataFrame:
     """One document of each component, the one with the least key, with its columns; cases as in one_of_each."""
-    rows = identified(docs, key)
+    named, back = set_aside(docs, ROW, "__text")
+    key, text = (next((n for n, c in back.items() if c == x), x) for x in (key, text))
+    rows = identified(named, key)
     found = classes(written(fingerprints(rows.filter(F.col(key).isNotNull()), key=ROW, text=text, k=k)), key=ROW, distance=distance)
-    return one_of_each(rows, found, key)
+    return one_of_each(rows, found, key).withColumnsRenamed(back)
 
 
 ROW = "__row"
