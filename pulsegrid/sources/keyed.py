@@ -7,6 +7,7 @@ partitions of these groups are read and replaced; all other files stay as they a
 A change is first written beside the table (`<path>.change`), whole or not at all, and then moved in by a dynamic
 partition overwrite.  Both steps can be repeated: a run that is cut short in the second is finished by the next
 `replace`, `merge` or `recover`, and one that is cut short in the first leaves the table as it was.  One writer at a time.
+The columns are kept beside the table (`<path>.schema`), so that a table may be empty, from the start or after a change.
 
 Nulls in `by` or in the key are values like others: they match each other.  Keys that many rows share lie in one
 partition each; within it, rows are dealt out by all their columns, so that no task writes a hot key alone.
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pulsegrid.sources.sinks import _fs
 
@@ -54,14 +56,25 @@ class Keyed:
     def _change(self) -> str:
         return f"{self.path}.change"
 
+    def _schema(self, spark: SparkSession) -> StructType:
+        """The stored columns, the partition last; of a table without a folder of its columns, what its files say."""
+        kept = f"{self.path}.schema"
+        fs, p = _fs(spark, f"{kept}/_SUCCESS")
+        return spark.read.parquet(kept if fs.exists(p) else self.path).schema
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self._schema(spark)).parquet(self.path)
+
     def create(self, df: DataFrame) -> None:
         """Writes a new table, or replaces one as a whole."""
         self.recover(df.sparkSession)
-        self._dealt(self._placed(df), self.parts).write.partitionBy(PART).mode("overwrite").parquet(self.path)
+        placed = self._placed(df)
+        placed.limit(0).write.mode("overwrite").parquet(f"{self.path}.schema")
+        self._dealt(placed, self.parts).write.partitionBy(PART).mode("overwrite").parquet(self.path)
 
     def read(self, spark: SparkSession, parts: list[int] | None = None) -> DataFrame:
         """The table, or some of its partitions."""
-        df = spark.read.parquet(self.path)
+        df = self._stored(spark)
         return (df if parts is None else df.filter(F.col(PART).isin(parts))).drop(PART)
 
     def touched(self, groups: DataFrame) -> list[int]:
@@ -86,7 +99,7 @@ class Keyed:
         done = [s.getPath().getName() for s in fs.listStatus(change)]
         parts = [int(n.split("=")[1]) for n in done if n.startswith(f"{PART}=")]
         if parts:
-            moved = spark.read.schema(spark.read.parquet(self.path).schema).parquet(self._change)
+            moved = spark.read.schema(self._schema(spark)).parquet(self._change)
             self._dealt(moved, len(parts)).write.partitionBy(PART).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
         for n in done:  # partitions that have no rows any more
             if n.startswith("gone="):
@@ -102,7 +115,7 @@ class Keyed:
         parts = self.touched(groups)
         if not parts:
             return parts
-        stored = spark.read.parquet(self.path)
+        stored = self._stored(spark)
         old = _matches(stored.filter(F.col(PART).isin(parts)), self._placed(groups.select(*on)), [PART, *on], "left_anti")
         new = self._placed(rows.select(*(c for c in stored.columns if c != PART))).select(*stored.columns)
         self._dealt(old.unionByName(new), len(parts)).write.partitionBy(PART).parquet(self._change)

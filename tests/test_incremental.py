@@ -47,6 +47,21 @@ def test_null_keys_repeated_merges_and_emptied_partitions(spark, tmp_path):
     assert rows(table.of(spark.createDataFrame([(None,)], "k string"))) == [(None, 1, "A")]
 
 
+def test_tables_that_are_empty_or_become_so(spark, tmp_path):
+    kind, some = "k string, n int, v string", [("x", 1, "a"), (None, 2, "b")]
+    none, full = spark.createDataFrame([], kind), spark.createDataFrame(some, kind)
+    table = Keyed(str(tmp_path / "t"), ("k",), 4)
+    table.create(none)
+    assert table.read(spark).columns == ["k", "n", "v"] and table.read(spark).isEmpty() and table.of(full).isEmpty()
+    for _ in range(2):
+        table.merge(full, ("k", "n"))
+        assert rows(table.read(spark)) == sorted(some, key=str)
+        table.merge(full, ("k", "n"), deleted=F.lit(True))
+        assert table.read(spark).columns == ["k", "n", "v"] and table.read(spark).isEmpty()
+    table.create(full.withColumn("more", F.lit(1)))
+    assert table.read(spark).columns == ["k", "n", "v", "more"] and table.read(spark).count() == 2
+
+
 def test_a_change_that_was_cut_short(spark, tmp_path, monkeypatch):
     table = Keyed(str(tmp_path / "t"), ("k",), 4)
     table.create(spark.range(20).select(F.col("id").alias("k"), F.lit("old").alias("v")))
