@@ -9,6 +9,7 @@ mailing's groups are replaced as a whole: groups that are gone by now go.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import ExitStack
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.operators import mail
 from pulsegrid.sources.keyed import Keyed
+from pulsegrid.sources.sinks import staged
 
 HUB_KEYS = {"receivers": ("mailing_id", "receiver_id"), "engagement": ("mailing_id", "id")}
 
@@ -42,12 +44,15 @@ class MailStore:
         """Merges changes of hubs (by name) and brings gold up to date; gives the partitions of gold that were replaced.
 
         `t` has the masters: mailings and the HR tables.  A change may also name mailings whose master row has changed: rows of
-        `mailings` under that name (their tracking id is part of gold)."""
-        for name in HUB_KEYS:
-            if name in changes:
-                self.table(name).merge(changes[name], HUB_KEYS[name], order, deleted)
-        groups = reduce(DataFrame.unionByName, (c.select("mailing_id") for c in changes.values())).distinct()
-        return self.refresh(t, groups)
+        `mailings` under that name (their tracking id is part of gold).  Changes are written once, as several steps read them."""
+        with ExitStack() as used:
+            stage = lambda df, name: used.enter_context(staged(df, f"{self.folder}/{name}.staged"))
+            changes = {name: stage(c, name) if name in HUB_KEYS else c for name, c in changes.items()}
+            for name in HUB_KEYS:
+                if name in changes:
+                    self.table(name).merge(changes[name], HUB_KEYS[name], order, deleted)
+            groups = reduce(DataFrame.unionByName, (c.select("mailing_id") for c in changes.values())).distinct()
+            return self.refresh(t, stage(groups, "groups"))
 
     def refresh(self, t: Mapping[str, DataFrame], groups: DataFrame) -> list[int]:
         """Gold of these mailings anew.  It may be repeated; a run that was cut short is done again as a whole."""

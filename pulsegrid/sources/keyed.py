@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulsegrid.sources.sinks import _fs
+from pulsegrid.sources.sinks import _fs, shuffles_dropped, staged
 
 PART = "_part"
 
@@ -70,7 +70,8 @@ class Keyed:
         self.recover(df.sparkSession)
         placed = self._placed(df)
         placed.limit(0).write.mode("overwrite").parquet(f"{self.path}.schema")
-        self._dealt(placed, self.parts).write.partitionBy(PART).mode("overwrite").parquet(self.path)
+        with shuffles_dropped(df.sparkSession):
+            self._dealt(placed, self.parts).write.partitionBy(PART).mode("overwrite").parquet(self.path)
 
     def read(self, spark: SparkSession, parts: list[int] | None = None) -> DataFrame:
         """The table, or some of its partitions."""
@@ -100,7 +101,8 @@ class Keyed:
         parts = [int(n.split("=")[1]) for n in done if n.startswith(f"{PART}=")]
         if parts:
             moved = spark.read.schema(self._schema(spark)).parquet(self._change)
-            self._dealt(moved, len(parts)).write.partitionBy(PART).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
+            with shuffles_dropped(spark):
+                self._dealt(moved, len(parts)).write.partitionBy(PART).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(self.path)
         for n in done:  # partitions that have no rows any more
             if n.startswith("gone="):
                 target, p = _fs(spark, f"{self.path}/{PART}={n.split('=')[1]}")
@@ -118,7 +120,8 @@ class Keyed:
         stored = self._stored(spark)
         old = _matches(stored.filter(F.col(PART).isin(parts)), self._placed(groups.select(*on)), [PART, *on], "left_anti")
         new = self._placed(rows.select(*(c for c in stored.columns if c != PART))).select(*stored.columns)
-        self._dealt(old.unionByName(new), len(parts)).write.partitionBy(PART).parquet(self._change)
+        with shuffles_dropped(spark):
+            self._dealt(old.unionByName(new), len(parts)).write.partitionBy(PART).parquet(self._change)
         fs, change = _fs(spark, self._change)
         there = {s.getPath().getName() for s in fs.listStatus(change)}
         for p in parts:
@@ -130,10 +133,11 @@ class Keyed:
     def merge(self, updates: DataFrame, key: tuple[str, ...], order: Column | None = None, deleted: Column | None = None) -> list[int]:
         """MERGE: rows with a key that is stored are replaced, others are added; where `deleted` holds, the stored row goes.
         Of several updates of one key the last by `order` counts, then the greatest by all columns (the key has all of `by`).
-        Gives the partitions that were replaced."""
+        Gives the partitions that were replaced.  The last updates are written beside the table (`<path>.updates`) while they are used."""
         flag = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
         stored = [c for c in self.read(updates.sparkSession).columns]
         ranked = updates.withColumns({"__gone": flag, "__order": order if order is not None else F.lit(0)})
         last = Window.partitionBy(*key).orderBy(F.desc("__order"), *(F.desc_nulls_last(c) for c in stored), F.desc("__gone"))
-        ranked = ranked.withColumn("__r", F.row_number().over(last)).filter("__r = 1")
-        return self.replace(ranked.select(*key), ranked.filter("NOT __gone").select(*stored), key)
+        ranked = ranked.withColumn("__r", F.row_number().over(last)).filter("__r = 1").select(*stored, "__gone")
+        with staged(ranked, f"{self.path}.updates") as ranked:
+            return self.replace(ranked.select(*key), ranked.filter("NOT __gone").select(*stored), key)

@@ -8,7 +8,8 @@ that was cut short is undone when the table is next looked for or replaced, so t
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,33 @@ def _recover(spark: SparkSession, path: str) -> None:
             _rename(spark, f"{path}.before", path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """A write inside drops its shuffle files when it is over; they would stay on the executors' disks until the driver collects
+    its garbage, and a run of many steps would hold those of all steps."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """df as written to a folder, which is there for as long as it is used: what several steps read is computed once."""
+    spark = df.sparkSession
+    df = df.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "void"})
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+
+
 def exists(spark: SparkSession, path: str, recover: bool = False) -> bool:
     """Whether there is a table.  Only the table's writer may recover a swap that was cut short; a reader finds the old
     table under `<table>.before` meanwhile (see current)."""
