@@ -151,13 +151,13 @@ def rollup_all(t: Tables) -> DataFrame:
 def attribution_lag(t: Tables, days: int = 30, sent_on: Column | None = None) -> DataFrame:
     """Per pack: mailings with a view of the pack within `days` after sent_on (the day of creation), and percentiles of the hours to the first.
 
-    Views are cut to the first of each pack and day, and mailings meet only the days of their window."""
-    v = _tracked(t["page_views"]).groupBy("pack_id", F.to_date("ts").alias("day")).agg(F.min("ts").alias("first_view"))
-    m = _tracked(t["mailings"]).select("pack_id", "mailing_id", (F.col("created_at") if sent_on is None else sent_on).alias("start"))
-    m = m.withColumn("day", F.explode(F.sequence("start", F.date_add("start", days))))
-    lag = m.join(v, ["pack_id", "day"]).groupBy("pack_id", "mailing_id").agg(F.min(F.timestamp_diff("SECOND", F.col("start").cast("timestamp_ntz"), F.col("first_view"))).alias("s"))
-    hours = F.col("s") / 3600
-    return lag.groupBy("pack_id").agg(F.count("*").alias("mailings"), *(F.round(F.percentile(hours, q), 4).alias(f"p{int(q * 100)}_hours") for q in (0.5, 0.9, 0.99)))
+    Views are cut to the first of each pack and day, mailings to their number of each pack and day; the next view is found in one order of both."""
+    v = _tracked(t["page_views"]).filter("ts IS NOT NULL").groupBy("pack_id", F.to_date("ts").alias("day")).agg(F.min("ts").cast("timestamp_ntz").alias("at")).drop("day")
+    m = _tracked(t["mailings"]).select("pack_id", "mailing_id", (F.col("created_at") if sent_on is None else sent_on).cast("date").cast("timestamp_ntz").alias("at"))
+    m = m.filter("at IS NOT NULL").distinct().groupBy("pack_id", "at").agg(F.count("*").alias("n"))
+    s = F.timestamp_diff("SECOND", F.col("at"), F.col("next_at"))
+    lag = next_view(m, v, "pack_id").filter(F.col("next_at") < F.date_add(F.to_date("at"), days + 1).cast("timestamp_ntz")).withColumn("hours", s / 3600)
+    return lag.groupBy("pack_id").agg(F.sum("n").alias("mailings"), *(F.round(F.percentile("hours", q, F.col("n")), 4).alias(f"p{int(q * 100)}_hours") for q in (0.5, 0.9, 0.99)))
 
 
 def next_view(sends: DataFrame, views: DataFrame, key: str, split_hours: int = 24) -> DataFrame:
