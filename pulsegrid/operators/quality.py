@@ -61,28 +61,27 @@ def key_overlap(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> Dat
     return out.select("a", "b", "n_a", "n_b", "shared", sa.alias("share_a"), sb.alias("share_b"), kind.alias("relation"))
 
 
-def _apart_ranges(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]]) -> dict[str, list[str]]:
-    """The columns of each table whose range of values meets that of some other table's column of the same name; a cheap
-    test, as Parquet has the ranges.  Ranges are of values as text, so that types do not matter."""
-    rows = [d.agg(*(f(F.col(c).cast("string")).alias(f"{n}_{i}") for i, c in enumerate(columns[t]) for n, f in (("least", F.min), ("most", F.max)))).first() for t, d in tables.items() if columns[t]]
-    ranges = {(t, c): (r[f"least_{i}"], r[f"most_{i}"]) for (t, _), r in zip([x for x in tables.items() if columns[x[0]]], rows, strict=True) for i, c in enumerate(columns[t])}
-    meet = lambda x, y: None not in (*x, *y) and x[0] <= y[1] and y[0] <= x[1]
-    return {t: [c for c in columns[t] if any(meet(ranges[t, c], ranges[u, c]) for u in tables if u != t and c in columns[u])] for t in tables}
+_BITS = 62  # of a long
 
 
 def _value_sets(tables: Mapping[str, DataFrame], columns: Mapping[str, list[str]], by_name: bool) -> DataFrame:
     """(column, names, n): how many different values occur in exactly these tables' columns of a name, or, without by_name, in
-    exactly these `table.column`s.  One pass: values are made different inside each task first, and a value then has a row
-    for each table or column at most."""
+    exactly these `table.column`s.  One pass and one shuffle: each row sets the bit of its table or column, and the bits of a
+    value are joined inside each task before values meet."""
+    names = [t for t in tables if columns[t]] if by_name else [f"{t}.{c}" for t in tables for c in columns[t]]
+    if not names:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "column string, names array<string>, n long")
+    words = range((len(names) - 1) // _BITS + 1)
+    bits = lambda name: [F.lit(1 << at % _BITS if at // _BITS == w else 0).cast("long").alias(f"bits{w}") for at in [names.index(name)] for w in words]
     pairs = []
     for t, d in tables.items():
         if columns[t]:
-            what = [F.struct(F.lit(c if by_name else "").alias("column"), F.lit(t if by_name else f"{t}.{c}").alias("name"), F.col(c).cast("string").alias("v")) for c in columns[t]]
-            pairs.append(d.select(F.explode(F.array(*what)).alias("p")).select("p.*").filter("v IS NOT NULL").distinct())
-    if not pairs:
-        return next(iter(tables.values())).sparkSession.createDataFrame([], "column string, names array<string>, n long")
-    sets = reduce(DataFrame.unionByName, pairs).groupBy("column", "v").agg(F.array_sort(F.collect_set("name")).alias("names"))
-    return sets.groupBy("column", "names").agg(F.count("*").alias("n"))
+            what = [F.struct(F.lit(c if by_name else "").alias("column"), F.col(c).cast("string").alias("v"), *bits(t if by_name else f"{t}.{c}")) for c in columns[t]]
+            pairs.append(d.select(F.explode(F.array(*what)).alias("p")).select("p.*").filter("v IS NOT NULL"))
+    sets = reduce(DataFrame.unionByName, pairs).groupBy("column", "v").agg(*(F.bit_or(f"bits{w}").alias(f"bits{w}") for w in words))
+    sets = sets.groupBy("column", *(f"bits{w}" for w in words)).agg(F.count("*").alias("n"))
+    of = [F.when(F.col(f"bits{at // _BITS}").bitwiseAND(F.lit(1 << at % _BITS)) != 0, F.lit(name)) for at, name in enumerate(names)]
+    return sets.select("column", F.array_sort(F.array_compact(F.array(*of))).alias("names"), "n")
 
 
 def _pairs_of(names: str, ordered: bool) -> Column:
@@ -95,7 +94,7 @@ def column_overlaps(tables: Mapping[str, DataFrame]) -> DataFrame:
     ones, both percentages, and the class of the relation."""
     names = [c for d in tables.values() for c in d.columns]
     shared = {t: [c for c in d.columns if names.count(c) > 1 and not isinstance(d.schema[c].dataType, _NESTED)] for t, d in tables.items()}
-    sets = _value_sets(tables, _apart_ranges(tables, shared), by_name=True)
+    sets = _value_sets(tables, shared, by_name=True)
     size = sets.select("column", F.explode("names").alias("t"), "n").groupBy("column", "t").agg(F.sum("n").alias("size"))
     both = sets.select("column", _pairs_of("names", ordered=True).alias("p"), "n").groupBy("column", F.col("p.a").alias("table_1"), F.col("p.b").alias("table_2")).agg(F.sum("n").alias("overlap"))
     out = both.join(size.select("column", F.col("t").alias("table_1"), F.col("size").alias("distinct_1")), ["column", "table_1"]).join(size.select("column", F.col("t").alias("table_2"), F.col("size").alias("distinct_2")), ["column", "table_2"])
