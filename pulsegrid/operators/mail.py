@@ -26,6 +26,39 @@ def enrich_hr(df: DataFrame, t: Tables, columns: tuple[str, ...] = ORG) -> DataF
     return df.join(who, apart(F.col("person_key"), *rest) == F.col("__who"), "left").select("person_key", *rest, *columns)
 
 
+def _people(t: Tables, columns: tuple[str, ...], users: tuple[str, ...] | None = None) -> DataFrame:
+    """What HR has of each person, a row for each key without regard to case: `__orgs`, the different organisations of each
+    spelling with their number of employees, and, unless users is None, `__users`, the different rows of HR users with their number."""
+    who = t["hr_employee"].filter("person_key IS NOT NULL").select("person_key", "org_unit").join(t["hr_costcenter"].select("org_unit", *columns), "org_unit", "left")
+    orgs = who.groupBy("person_key", *columns).agg(F.count("*").alias("times")).groupBy(F.lower("person_key").alias("__k")).agg(F.collect_list(F.struct("person_key", "times", *columns)).alias("__orgs"))
+    if users is None:
+        return orgs
+    u = t["hr_user"].filter("user_key IS NOT NULL").groupBy(F.lower("user_key").alias("__k"), *users).agg(F.count("*").alias("times"))
+    return orgs.join(u.groupBy("__k").agg(F.collect_list(F.struct("times", *users)).alias("__users")), "__k", "full_outer")
+
+
+def _person(*rest: str) -> Column:
+    """The key of _people that a row with a person_key looks for."""
+    return apart(F.lower("person_key"), *rest)
+
+
+def _spread(df: DataFrame, columns: tuple[str, ...], users: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows that have met _people, one for each different match, with its columns and `__times`, the number of matches alike.
+    Rows are multiplied here only, after they have been moved, so that keys which many persons share do not multiply what is moved."""
+    rest = [c for c in df.columns if c not in ("__k", "__orgs", "__users")]
+    mine = F.filter("__orgs", lambda o: o["person_key"] == F.col("person_key"))
+    out = df.select(*rest, *(["__users"] if users is not None else []), F.explode_outer(mine).alias("__o"))
+    times = F.coalesce("__o.times", F.lit(1))
+    if users is not None:
+        out, times = out.select(*rest, "__o", F.explode_outer("__users").alias("__u")), times * F.coalesce("__u.times", F.lit(1))
+    return out.select(*rest, *(F.col(f"__o.{c}") for c in columns), *(F.col(f"__u.{c}") for c in users or ()), times.alias("__times"))
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """As many rows as __times says."""
+    return df.withColumn("__times", F.explode(F.array_repeat(F.lit(0), F.col("__times").cast("int")))).drop("__times")
+
+
 def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:
     """An equality join without regard to case; still a hash or merge join.  Rows of the left side without a key match nothing
     and are spread by a hash of the row."""
@@ -58,6 +91,13 @@ def email_event_chain(t: Tables) -> DataFrame:
     return enrich_hr(chain, t, ("region", "division"))
 
 
+def _interactions(t: Tables) -> DataFrame:
+    """Sent or bounced from the receivers, opened or clicked from active events."""
+    sent = t["receivers"].select("mailing_id", "receiver_id", "person_key", F.when(F.col("log_status") == "Bounce", "bounced").otherwise("sent").alias("event"), F.col("sent_at").alias("event_at"), F.lit(None).cast("string").alias("agent"))
+    seen = active_only(t["engagement"]).select("mailing_id", "receiver_id", "person_key", F.when(F.col("link_type") == "OPEN", "opened").otherwise("clicked").alias("event"), "event_at", "agent")
+    return sent.unionByName(seen)
+
+
 def fact_email(t: Tables) -> DataFrame:
     """One row per interaction: sent or bounced from the receivers, opened or clicked from active events."""
     r = t["receivers"]
@@ -67,10 +107,24 @@ def fact_email(t: Tables) -> DataFrame:
     return join_ci(enrich_hr(both, t, ("region", "division")), t["hr_user"], "person_key", "user_key").drop("user_key")
 
 
+def _counted(t: Tables, key: tuple[str, ...], columns: tuple[str, ...], **by: Column) -> DataFrame:
+    """Interactions of fact_email counted (n) by key (mailing_id or none, tracking_id, person_key or none), event, `by` and organisation.
+
+    What is alike is counted before it meets HR, and a row stands for `__n` of fact_email's: mailings and persons count as often as
+    the masters have them.  If the key has mailing_id and person_key, the result has one row a group; else groups are added up at the end."""
+    m = t["mailings"].groupBy("mailing_id", *(c for c in key if c == "tracking_id")).agg(F.count("*").alias("__n"))
+    f = _interactions(t).select("mailing_id", "person_key", "event", *(c.alias(n) for n, c in by.items())).join(m, "mailing_id", "left")
+    own = [c for c in key if c != "person_key"] + ["event", *by]
+    f = f.withColumn("__who", _person(*own)).repartition("__who").groupBy("__who", "person_key", *own).agg(F.sum(F.coalesce("__n", F.lit(1))).alias("__n"))
+    f = f.join(_people(t, columns, ()), F.col("__who") == F.col("__k"), "left").drop("__who")
+    f = _spread(f, columns, ()).withColumn("n", F.col("__n") * F.col("__times"))
+    return f if {"mailing_id", "person_key"} <= set(key) else f.groupBy(*key, "event", *by, *columns).agg(F.sum("n").alias("n"))
+
+
 def gold_email_fact(t: Tables) -> DataFrame:
     """Interactions by mailing, recipient, event and hour, with organisation."""
-    f = fact_email(t).withColumn("hour", F.date_trunc("hour", "event_at").cast("timestamp_ntz"))
-    return f.groupBy("mailing_id", "tracking_id", "person_key", "event", "hour", "region", "division").agg(F.count("*").alias("n"))
+    f = _counted(t, ("mailing_id", "tracking_id", "person_key"), ("region", "division"), hour=F.date_trunc("hour", "event_at").cast("timestamp_ntz"))
+    return f.select("mailing_id", "tracking_id", "person_key", "event", "hour", "region", "division", "n")
 
 
 def gold_email_by_dim(t: Tables) -> DataFrame:
