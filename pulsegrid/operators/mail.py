@@ -128,7 +128,7 @@ def gold_email_fact(t: Tables) -> DataFrame:
 
 
 def gold_email_by_dim(t: Tables) -> DataFrame:
-    return gold_email_fact(t).groupBy("tracking_id", "region", "division", "event").agg(F.sum("n").alias("n"))
+    return _counted(t, ("tracking_id",), ("region", "division")).select("tracking_id", "region", "division", "event", "n")
 
 
 def gold_email_by_pack(t: Tables) -> DataFrame:
