@@ -131,6 +131,11 @@ def gold_email_by_dim(t: Tables) -> DataFrame:
     return _counted(t, ("tracking_id",), ("region", "division")).select("tracking_id", "region", "division", "event", "n")
 
 
+def email_by_week(t: Tables) -> DataFrame:
+    """Interactions by week and event."""
+    return _counted(t, (), (), week=F.trunc("event_at", "week")).select("week", "event", "n")
+
+
 def gold_email_by_pack(t: Tables) -> DataFrame:
     """Distinct recipients per pack that were sent to, opened and clicked."""
     who = lambda e: F.count_distinct(F.when(F.col("event") == e, F.col("person_key")))

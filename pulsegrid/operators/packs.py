@@ -306,7 +306,7 @@ def dash_weekly(t: Tables) -> DataFrame:
     """Events per ISO week and channel."""
     week = lambda c: F.trunc(c, "week").alias("week")
     n = F.count("*").alias("n")
-    m = mail.fact_email(t).groupBy(week("event_at"), F.col("event").alias("series")).agg(n)
+    m = mail.email_by_week(t).select("week", F.col("event").alias("series"), "n")
     v = t["page_views"].groupBy(week("ts"), F.lit("view").alias("series")).agg(n)
     r = t["registrations"].groupBy(week("registered_on"), F.lit("registration").alias("series")).agg(n)
     return m.unionByName(v).unionByName(r)
